@@ -86,10 +86,10 @@ def stream_events(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return explode_arrays(files.select("value", F.col("_metadata.file_path").alias("file")))
 
 
-def to_json_lines(events: DataFrame) -> DataFrame:
-    """Events as one JSON text column `value`; missing fields are left out."""
+def to_json_lines(events: DataFrame, *keep: str) -> DataFrame:
+    """Events as one JSON text column `value`, besides the columns to keep; missing fields are left out."""
     present = [F.col(name).cast("string").alias(name) for name in RAW_FIELDS if name in events.columns]
-    return events.select(F.to_json(F.struct(*present)).alias("value"))
+    return events.select(*keep, F.to_json(F.struct(*present)).alias("value"))
 
 
 def from_json_lines(lines: DataFrame) -> DataFrame:
