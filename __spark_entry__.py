@@ -20,7 +20,7 @@ from perennia.functions.money import parse_amount
 from perennia.functions.tags import explode_tags
 from perennia.functions.weeks import POLICIES, week_of
 from perennia.operators.dispositions import event_dispositions, rejects
-from perennia.operators.fold import entities, entities_of, entities_of_state, fold
+from perennia.operators.fold import Entities, entities, entities_of, entities_of_state, fold
 from perennia.operators.rank import dense_rank_x, top_x
 from perennia.plans import reports
 from perennia.plans.ltv import customer_metrics, ltv, ltv_timeframe, result_columns, score
@@ -30,7 +30,7 @@ from perennia.schema import ALL_TYPES, CUSTOMER, ORDER, SITE_VISIT
 from perennia.session import configure, work_folder
 from perennia.sources.event_log import union_logs
 from perennia.sources.json_events import from_json_lines, to_json_lines
-from perennia.sources.tables import event_log_from_tables, relations_from_orders
+from perennia.sources.tables import entities_from_tables, event_log_from_tables, relations_from_orders
 from perennia.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,8 +40,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_log_from_tables(_table(spark, sf_dir, "events"))
+def _log(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
+    return event_log_from_tables(_table(spark, sf_dir, "events"), types or None)
+
+
+def _entities(spark: SparkSession, sf_dir: str) -> Entities:
+    return entities_from_tables(_table(spark, sf_dir, "events"))
 
 
 def _log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,21 +80,21 @@ def published(rows: DataFrame) -> DataFrame:
 
 
 def ltv_fold_all(spark, sf_dir):
-    return result_columns(ltv(entities(_log(spark, sf_dir))))
+    return result_columns(ltv(_entities(spark, sf_dir)))
 
 
 def ltv_fold_top10(spark, sf_dir):
-    return result_columns(top_x(ltv(entities(_log(spark, sf_dir))), 10))
+    return result_columns(top_x(ltv(_entities(spark, sf_dir)), 10))
 
 
 def ltv_fold_dense_rank_top10(spark, sf_dir):
-    ranked = dense_rank_x(ltv(entities(_log(spark, sf_dir))), 10)
+    ranked = dense_rank_x(ltv(_entities(spark, sf_dir)), 10)
     return ranked.select("customer_id", "ltv", "rank")
 
 
 def _sql_relations(spark, sf_dir):
     """Customers of the customer table, visits and orders of the event log (bad times are no week)."""
-    current = entities(_log(spark, sf_dir))
+    current = _entities(spark, sf_dir)
     people = _table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("last_name"),
@@ -110,27 +114,25 @@ def ltv_sql_dense_rank_top10(spark, sf_dir):
 
 def ltv_sql_customer_events_top10(spark, sf_dir):
     """Customer rows straight from the log, as raw events: repeated ids fan out."""
-    log = _log(spark, sf_dir)
-    people = log.where(F.col("type") == CUSTOMER).withColumn("customer_id", F.col("key"))
-    current = entities(log)
+    people = _log(spark, sf_dir, CUSTOMER).withColumn("customer_id", F.col("key"))
+    current = _entities(spark, sf_dir)
     return ltv_sql(people, current.site_visit, current.orders, k=10)
 
 
 def ltv_touch_all(spark, sf_dir):
-    return touch_ltv(_log(spark, sf_dir)).select("customer_id", "visits", "weeks", "ltv")
+    return touch_ltv(_log(spark, sf_dir, *ALL_TYPES)).select("customer_id", "visits", "weeks", "ltv")
 
 
 def ltv_touch_top10(spark, sf_dir):
-    return top_x(touch_ltv(_log(spark, sf_dir)), 10).select("customer_id", "ltv")
+    return top_x(touch_ltv(_log(spark, sf_dir, *ALL_TYPES)), 10).select("customer_id", "ltv")
 
 
 def touch_customer_profiles(spark, sf_dir):
-    return touch_profiles(_log(spark, sf_dir)).drop("profile_seq")
+    return touch_profiles(_log(spark, sf_dir, *ALL_TYPES)).drop("profile_seq")
 
 
 def ltv_timeframe_all(spark, sf_dir):
-    log = _log(spark, sf_dir).where(F.col("type").isin(*ALL_TYPES))
-    return result_columns(ltv_timeframe(entities(log), log))
+    return result_columns(ltv_timeframe(_entities(spark, sf_dir), _log(spark, sf_dir, *ALL_TYPES)))
 
 
 def _cross_year(policy):
@@ -141,12 +143,12 @@ def _cross_year(policy):
 
 
 def bad_time_null_week(spark, sf_dir):
-    metrics = customer_metrics(fold(_log(spark, sf_dir), (SITE_VISIT, ORDER), "null_week"))
+    metrics = customer_metrics(fold(_log(spark, sf_dir, SITE_VISIT, ORDER), (SITE_VISIT, ORDER), "null_week"))
     return score(metrics.fillna({"visits": 0})).select("customer_id", "visits", "weeks", "visits_per_week")
 
 
 def bad_time_skip(spark, sf_dir):
-    metrics = customer_metrics(fold(_log(spark, sf_dir), (SITE_VISIT, ORDER), "skip"))
+    metrics = customer_metrics(fold(_log(spark, sf_dir, SITE_VISIT, ORDER), (SITE_VISIT, ORDER), "skip"))
     return score(metrics.fillna({"visits": 0})).select("customer_id", "visits", "weeks", "visits_per_week")
 
 
@@ -154,19 +156,19 @@ def bad_time_skip(spark, sf_dir):
 
 
 def customer_current(spark, sf_dir):
-    return entities(_log(spark, sf_dir)).customer
+    return _entities(spark, sf_dir).customer
 
 
 def order_current(spark, sf_dir):
-    return entities(_log(spark, sf_dir)).orders.select("order_id", "customer_id", "amount", "first_seq", "last_seq")
+    return _entities(spark, sf_dir).orders.select("order_id", "customer_id", "amount", "first_seq", "last_seq")
 
 
 def site_visit_current(spark, sf_dir):
-    return entities(_log(spark, sf_dir)).site_visit.select("page_id", "customer_id", "event_date", "tags")
+    return _entities(spark, sf_dir).site_visit.select("page_id", "customer_id", "event_date", "tags")
 
 
 def image_current(spark, sf_dir):
-    return entities(_log(spark, sf_dir)).image.select("image_id", "customer_id", "camera_make", "camera_model")
+    return _entities(spark, sf_dir).image.select("image_id", "customer_id", "camera_make", "camera_model")
 
 
 def dispositions(spark, sf_dir):
@@ -194,13 +196,13 @@ def events_by_type_verb(spark, sf_dir):
 
 
 def weekly_visit_histogram(spark, sf_dir):
-    facts = fold(_log(spark, sf_dir), (SITE_VISIT,))
+    facts = fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,))
     return reports.weekly_visit_histogram(facts).withColumn("week", F.coalesce("week", F.lit(-1)))
 
 
 def visit_week_map(spark, sf_dir):
     """The map printed as text `week:visits,...`."""
-    weeks = reports.visit_week_map(fold(_log(spark, sf_dir), (SITE_VISIT,)))
+    weeks = reports.visit_week_map(fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,)))
     entries = F.transform(
         F.map_entries("weeks"), lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string"))
     )
@@ -208,29 +210,29 @@ def visit_week_map(spark, sf_dir):
 
 
 def visits_per_customer(spark, sf_dir):
-    return reports.visits_per_customer(fold(_log(spark, sf_dir), (SITE_VISIT,)))
+    return reports.visits_per_customer(fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,)))
 
 
 def revenue_per_customer(spark, sf_dir):
-    return reports.revenue_per_customer(fold(_log(spark, sf_dir), (ORDER,)))
+    return reports.revenue_per_customer(fold(_log(spark, sf_dir, ORDER), (ORDER,)))
 
 
 def visits_per_week(spark, sf_dir):
-    return ltv(entities(_log(spark, sf_dir))).select("customer_id", "visits", "weeks", "visits_per_week")
+    return ltv(_entities(spark, sf_dir)).select("customer_id", "visits", "weeks", "visits_per_week")
 
 
 def revenue_per_visit(spark, sf_dir):
-    return ltv(entities(_log(spark, sf_dir))).select("customer_id", "revenue", "visits", "revenue_per_visit")
+    return ltv(_entities(spark, sf_dir)).select("customer_id", "revenue", "visits", "revenue_per_visit")
 
 
 def orphan_facts(spark, sf_dir):
-    return reports.orphan_facts(entities(_log(spark, sf_dir)))
+    return reports.orphan_facts(_entities(spark, sf_dir))
 
 
 def customers_without_visits(spark, sf_dir):
     """Customers of the customer table that the log never saw visit."""
     people = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
-    current = entities(_log(spark, sf_dir))._replace(customer=people)
+    current = _entities(spark, sf_dir)._replace(customer=people)
     return reports.customers_without_visits(current)
 
 
@@ -252,7 +254,7 @@ def ltv_rollup_region(spark, sf_dir):
 
 
 def tags_normalised(spark, sf_dir):
-    visits = _log(spark, sf_dir).where(F.col("type") == SITE_VISIT)
+    visits = _log(spark, sf_dir, SITE_VISIT)
     return explode_tags(visits.select("seq", "tags"), "seq")
 
 
@@ -265,7 +267,7 @@ def week_functions(spark, sf_dir):
 
 def parsed_amounts(spark, sf_dir):
     """Readable and junk amounts of the purchase events."""
-    sales = _log(spark, sf_dir).where(F.col("type") == ORDER)
+    sales = _log(spark, sf_dir, ORDER)
     amount = parse_amount(F.col("total_amount"))
     return sales.groupBy("verb").agg(
         F.count(amount).alias("readable"),
@@ -295,7 +297,7 @@ def union_of_logs(spark, sf_dir):
         "customer_id", "event_date", "amount", (F.col("key") + 1_000_000_000).alias("seq"),
         F.lit("0 USD").alias("total_amount"),
     )
-    return reports.revenue_per_customer(fold(union_logs(_log(spark, sf_dir), bought), (ORDER,)))
+    return reports.revenue_per_customer(fold(union_logs(_log(spark, sf_dir, ORDER), bought), (ORDER,)))
 
 
 # --- streaming --------------------------------------------------------------------------------

@@ -28,7 +28,9 @@ def attach_first(
     hot = firsts.where(F.col("_rows") > hot_rows).select(
         *keys, F.col("_first").alias("_hot_first"), F.lit(True).alias("_hot")
     )
-    cold = firsts.where(F.col("_rows") <= hot_rows).select(*keys, "_first", F.lit(0).alias("_part"))
+    # Always 0, yet no literal: a constant would leave the join keys, and with it the partitioning.
+    zero = F.least(F.col("_rows"), F.lit(0)).cast("int")
+    cold = firsts.where(F.col("_rows") <= hot_rows).select(*keys, "_first", zero.alias("_part"))
     served = F.col("_hot").isNotNull()
     for k in keys:
         served = served | F.col(k).isNull()

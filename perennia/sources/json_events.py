@@ -63,19 +63,19 @@ def read_events(spark: SparkSession, path: str | list[str], glob: str = "*") ->
 
 def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
     """JSON lines, one event per line; splittable at any size. Bad lines become corrupt records."""
-    schema = T.StructType([*RAW.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
-    lines = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .option("pathGlobFilter", glob)
-        .json(path)
-    )
+    text = spark.read.option("pathGlobFilter", glob).text(path)
     # The id grows with the rows of one split, which is all the order needs after file and split.
-    located = _seq(
-        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    lines = text.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
     )
-    return typed(lines.withColumn("seq", located))
+    schema = T.StructType([*RAW.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    event = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    parsed = lines.where(F.trim("value") != "").select("file", "block", "line", event.alias("event"))
+    flat = parsed.select("file", "block", "line", "event.*")
+    return typed(flat.withColumn("seq", _seq(F.col("file"), F.col("block"), F.col("line"))).drop("file", "block", "line"))
 
 
 def stream_events(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:

@@ -6,21 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perennia.functions.money import parse_amount
+from perennia.operators.fold import Entities, customer_rows, fold
 from perennia.schema import AMOUNT, CUSTOMER, IMAGE, NEW, ORDER, SITE_VISIT, UPDATE
 
 # Which event type of the clickstream plays which entity event.
 ROLE = {"signup": CUSTOMER, "view": SITE_VISIT, "click": IMAGE, "purchase": ORDER}
 
 
-def event_log_from_tables(events: DataFrame) -> DataFrame:
-    """The four-type event log out of the clickstream table `events`.
+def event_log_from_tables(events: DataFrame, types: tuple[str, ...] | None = None) -> DataFrame:
+    """The four-type event log out of the clickstream table `events`, or only some of its types.
 
     Keys are derived so that every rule has work: pages and images repeat, two users share order
     keys (an UPDATE then moves revenue), some times and amounts are unreadable, and `error` rows are
-    of no known type.
+    of no known type. `types` filters the source column, which the scan can use; a filter on the
+    derived `type` could not reach it.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
     source = F.col("event_type")
+    if types is not None:
+        events = events.where(source.isin(*[name for name, entity in ROLE.items() if entity in types]))
+    # A column of its own, so that the JSON is parsed once for all that derives from it.
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     role = F.lit("OTHER")
     for name, entity in ROLE.items():
         role = F.when(source == name, entity).otherwise(role)
@@ -63,6 +69,15 @@ def event_log_from_tables(events: DataFrame) -> DataFrame:
     return log.withColumn("amount", parse_amount(F.col("total_amount")))
 
 
+def entities_from_tables(events: DataFrame, bad_time: str = "null_week") -> Entities:
+    """Current entities of the clickstream table; each side scans only the event types it needs."""
+    facts = (SITE_VISIT, IMAGE, ORDER)
+    return Entities(
+        customer=customer_rows(fold(event_log_from_tables(events, (CUSTOMER,)), (CUSTOMER,), bad_time)),
+        facts=fold(event_log_from_tables(events, facts), facts, bad_time),
+    )
+
+
 def relations_from_orders(customer: DataFrame, nation: DataFrame, orders: DataFrame):
     """(customer, site_visit, orders) relations: every order is one visit and one revenue fact."""
     people = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
