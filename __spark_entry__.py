@@ -26,7 +26,7 @@ from perennia.plans import reports
 from perennia.plans.ltv import customer_metrics, ltv, ltv_timeframe, result_columns, score
 from perennia.plans.ltv_sql import ltv_sql
 from perennia.plans.ltv_touch import touch_ltv, touch_profiles
-from perennia.schema import ALL_TYPES, CUSTOMER, ORDER, SITE_VISIT
+from perennia.schema import ALL_TYPES, CUSTOMER, LTV_FIELDS, ORDER, SITE_VISIT
 from perennia.session import configure, work_folder
 from perennia.sources.event_log import union_logs
 from perennia.sources.json_events import from_json_lines, to_json_lines
@@ -286,7 +286,7 @@ def json_round_trip(spark, sf_dir):
         ),
     )
     parsed = from_json_lines(to_json_lines(timed, "seq"))
-    return result_columns(ltv(entities(parsed)))
+    return result_columns(ltv(entities(parsed, columns=LTV_FIELDS)))
 
 
 def union_of_logs(spark, sf_dir):

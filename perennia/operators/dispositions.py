@@ -21,11 +21,10 @@ from perennia.schema import (
 def event_dispositions(log: DataFrame, bad_time: str = "null_week", hot_rows: int = HOT_ROWS) -> DataFrame:
     """The log with a column `disposition`; one row per event."""
     marked = log.withColumn("_fault", fault(log.columns, bad_time))
-    # Faulty events belong to no group: a NULL group key keeps them out of it.
-    grouped = marked.withColumn("_group", F.when(F.col("_fault").isNull(), F.col("type"))).withColumn(
-        "_member", F.when(F.col("_fault").isNull(), F.col("key"))
-    )
-    located = attach_first(grouped, ["_group", "_member"], F.when(opens(), F.col("seq")), "_first_seq", hot_rows)
+    # Faulty events belong to no group.
+    valid = F.col("_fault").isNull()
+    opened = F.when(opens(), F.col("seq"))
+    located = attach_first(marked, ["type", "key"], opened, "_first_seq", valid, hot_rows)
     seq, first = F.col("seq"), F.col("_first_seq")
     disposition = (
         F.when(F.col("_fault").isNotNull(), F.col("_fault"))

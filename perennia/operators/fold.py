@@ -16,66 +16,91 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from perennia.operators.validate import valid_events
-from perennia.schema import ALL_TYPES, AMOUNT, CUSTOMER, CUSTOMER_FIELDS, FIRST_WINS, IMAGE, NEW, ORDER, PAYLOAD, SITE_VISIT
+from perennia.schema import (
+    ALL_TYPES,
+    AMOUNT,
+    CUSTOMER,
+    CUSTOMER_FIELDS,
+    FACT_FIELDS,
+    FIRST_WINS,
+    IMAGE,
+    NEW,
+    ORDER,
+    PAYLOAD,
+    SITE_VISIT,
+)
+
+# True for a valid event that can create its entity, and the positions of those that do or change it.
+OPENS = "(type IN (" + ", ".join(f"'{t}'" for t in FIRST_WINS) + f") OR verb = '{NEW}')"
+_OPENED = f"CASE WHEN {OPENS} THEN seq END"
+_CHANGED = f"CASE WHEN NOT {OPENS} THEN seq END"
 
 
 def opens() -> Column:
-    """True for a valid event that can create its entity."""
-    return F.col("type").isin(*FIRST_WINS) | (F.col("verb") == NEW)
+    return F.expr(OPENS)
 
 
-def partial_state(valid: DataFrame, *keys: str) -> DataFrame:
+def partial_state(valid: DataFrame, *keys: str, columns: tuple[str, ...] = PAYLOAD) -> DataFrame:
     """The mergeable aggregates per key; also valid on a streaming DataFrame.
 
-    Each column has its own `min_by`/`max_by` instead of a packed row: Catalyst then drops those a
-    query does not read, and with fixed-width columns the aggregate stays a hash aggregate.
+    A fixed-width position (a number) gives each column its own `min_by`/`max_by`: Catalyst drops
+    those a query does not read, and without text columns the aggregate stays a hash aggregate.
+    A wide position (that of files) would be stored again with each column, so there one struct
+    holds position and columns; name only the `columns` needed.
     """
-    opened = F.when(opens(), F.col("seq"))
-    changed = F.when(~opens(), F.col("seq"))
-    columns = [c for c in PAYLOAD if c in valid.columns and c not in keys]
-    aggregates = [F.min(opened).alias("first_seq"), F.max(changed).alias("changed_seq")]
+    columns = [c for c in columns if c in valid.columns and c not in keys]
+    if isinstance(valid.schema["seq"].dataType, StructType):
+        row = f"struct({', '.join(['seq', *columns])})"
+        packed = valid.groupBy(*keys).agg(
+            F.expr(f"min(CASE WHEN {OPENS} THEN {row} END) AS opened"),
+            F.expr(f"max(CASE WHEN NOT {OPENS} THEN {row} END) AS changed"),
+        )
+        flat = [f"{part}.{c} AS {c}_{part}" for c in columns for part in ("opened", "changed")]
+        return packed.selectExpr(*keys, "opened.seq AS first_seq", "changed.seq AS changed_seq", *flat)
+    aggregates = [f"min({_OPENED}) AS first_seq", f"max({_CHANGED}) AS changed_seq"]
     for c in columns:
-        aggregates.append(F.min_by(F.col(c), opened).alias(f"{c}_opened"))
-        aggregates.append(F.max_by(F.col(c), changed).alias(f"{c}_changed"))
-    return valid.groupBy(*keys).agg(*aggregates)
+        aggregates.append(f"min_by({c}, {_OPENED}) AS {c}_opened")
+        aggregates.append(f"max_by({c}, {_CHANGED}) AS {c}_changed")
+    return valid.groupBy(*keys).agg(*map(F.expr, aggregates))
+
+
+def _payload(partial: DataFrame) -> list[str]:
+    return [c.removesuffix("_opened") for c in partial.columns if c.endswith("_opened")]
 
 
 def merge_partials(partials: DataFrame, *keys: str) -> DataFrame:
     """One row per key out of several `partial_state` results; merging a result twice does no harm."""
-    columns = [c.removesuffix("_opened") for c in partials.columns if c.endswith("_opened")]
-    aggregates = []
-    for c in columns:
-        aggregates.append(F.min_by(f"{c}_opened", "first_seq").alias(f"{c}_opened"))
-        aggregates.append(F.max_by(f"{c}_changed", "changed_seq").alias(f"{c}_changed"))
-    return partials.groupBy(*keys).agg(
-        F.min("first_seq").alias("first_seq"), F.max("changed_seq").alias("changed_seq"), *aggregates
-    )
+    aggregates = ["min(first_seq) AS first_seq", "max(changed_seq) AS changed_seq"]
+    for c in _payload(partials):
+        aggregates.append(f"min_by({c}_opened, first_seq) AS {c}_opened")
+        aggregates.append(f"max_by({c}_changed, changed_seq) AS {c}_changed")
+    return partials.groupBy(*keys).agg(*map(F.expr, aggregates))
 
 
 def resolve(partial: DataFrame, *keys: str) -> DataFrame:
     """Current rows out of the aggregates of `partial_state`; keys without a NEW have none."""
-    updated = F.col("changed_seq") > F.col("first_seq")
-    columns = [c.removesuffix("_opened") for c in partial.columns if c.endswith("_opened")]
-    return partial.where(F.col("first_seq").isNotNull()).select(
-        *keys,
-        "first_seq",
-        F.when(updated, F.col("changed_seq")).otherwise(F.col("first_seq")).alias("last_seq"),
-        *[F.when(updated, F.col(f"{c}_changed")).otherwise(F.col(f"{c}_opened")).alias(c) for c in columns],
-    )
+    rows = [f"if(changed_seq > first_seq, {c}_changed, {c}_opened) AS {c}" for c in _payload(partial)]
+    last = "if(changed_seq > first_seq, changed_seq, first_seq) AS last_seq"
+    return partial.where("first_seq IS NOT NULL").selectExpr(*keys, "first_seq", last, *rows)
 
 
-def fold(log: DataFrame, types: tuple[str, ...] = ALL_TYPES, bad_time: str = "null_week") -> DataFrame:
-    """One current row per (type, key) of the given entity types.
+def fold(
+    log: DataFrame,
+    types: tuple[str, ...] = ALL_TYPES,
+    bad_time: str = "null_week",
+    columns: tuple[str, ...] = PAYLOAD,
+) -> DataFrame:
+    """One current row per (type, key) of the given entity types, with those of `columns` the log has.
 
     A single type is grouped by key alone, so the result is partitioned by key for the next join.
     """
     wanted = valid_events(log.where(F.col("type").isin(*types)), bad_time)
-    if len(types) == 1:
-        state = resolve(partial_state(wanted, "key"), "key")
-        return state.select(F.lit(types[0]).alias("type"), *state.columns)
-    return resolve(partial_state(wanted, "type", "key"), "type", "key")
+    keys = ("key",) if len(types) == 1 else ("type", "key")
+    state = resolve(partial_state(wanted, *keys, columns=columns), *keys)
+    return state.select(F.lit(types[0]).alias("type"), *state.columns) if len(types) == 1 else state
 
 
 class Entities(NamedTuple):
@@ -108,11 +133,11 @@ class Entities(NamedTuple):
         return self._view(ORDER, "order_id", columns)
 
 
-def entities(log: DataFrame, bad_time: str = "null_week") -> Entities:
-    """Current entity tables of a log."""
+def entities(log: DataFrame, bad_time: str = "null_week", columns: tuple[str, ...] = FACT_FIELDS) -> Entities:
+    """Current entity tables of a log; facts carry those of `columns` the log has."""
     return Entities(
-        customer=customer_rows(fold(log, (CUSTOMER,), bad_time)),
-        facts=fold(log, (SITE_VISIT, IMAGE, ORDER), bad_time),
+        customer=customer_rows(fold(log, (CUSTOMER,), bad_time, CUSTOMER_FIELDS)),
+        facts=fold(log, (SITE_VISIT, IMAGE, ORDER), bad_time, columns),
     )
 
 

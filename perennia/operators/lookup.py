@@ -11,19 +11,25 @@ _SPREAD = 4096
 
 
 def attach_first(
-    events: DataFrame, keys: list[str], position: Column, alias: str, hot_rows: int = HOT_ROWS
+    events: DataFrame,
+    keys: list[str],
+    position: Column,
+    alias: str,
+    member: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add `alias` = min(position) over the rows with equal `keys`; NULL where a key is NULL.
+    """Add `alias` = min(position) over the rows with equal `keys`, of which none may be NULL for a
+    `member`; rows that are no members count for nothing and get NULL.
 
     The minimum is an aggregate that combines before the shuffle. Bringing it back to the rows would
     send all rows of a key to one task, so groups above `hot_rows` rows take another way: at most
     rows / hot_rows of them can exist, which bounds the broadcast that serves them, and their rows
-    then pass the shuffle join spread over many tasks. All other groups are small enough to shuffle.
+    then pass the shuffle join spread over many tasks, as do rows that are no members. All other
+    groups are small enough to shuffle.
     """
+    member = F.lit(True) if member is None else member
     firsts = (
-        events.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-        .groupBy(*keys)
-        .agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        events.where(member).groupBy(*keys).agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     )
     hot = firsts.where(F.col("_rows") > hot_rows).select(
         *keys, F.col("_first").alias("_hot_first"), F.lit(True).alias("_hot")
@@ -31,12 +37,8 @@ def attach_first(
     # Always 0, yet no literal: a constant would leave the join keys, and with it the partitioning.
     zero = F.least(F.col("_rows"), F.lit(0)).cast("int")
     cold = firsts.where(F.col("_rows") <= hot_rows).select(*keys, "_first", zero.alias("_part"))
-    served = F.col("_hot").isNotNull()
-    for k in keys:
-        served = served | F.col(k).isNull()
-    spread = F.when(served, 1 + F.pmod(F.xxhash64("seq"), F.lit(_SPREAD)).cast("int")).otherwise(0)
-    marked = events.join(F.broadcast(hot), keys, "left").withColumn("_part", spread)
-    joined = marked.join(cold, [*keys, "_part"], "left")
-    return joined.withColumn(alias, F.coalesce("_hot_first", "_first")).drop(
-        "_part", "_hot", "_hot_first", "_first"
-    )
+    scattered = 1 + F.pmod(F.xxhash64("seq"), F.lit(_SPREAD)).cast("int")
+    part = F.when(F.col("_hot").isNull() & member, 0).otherwise(scattered)
+    joined = events.join(F.broadcast(hot), keys, "left").withColumn("_part", part).join(cold, [*keys, "_part"], "left")
+    first = F.when(member, F.coalesce("_hot_first", "_first"))
+    return joined.withColumn(alias, first).drop("_part", "_hot", "_hot_first", "_first")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Up to this many rank values are broadcast; more are joined by shuffle.
 BROADCAST_RANKS = 100_000
+_COPIES = 32
 
 
 def top_x(rows: DataFrame, x: int, by: str = "ltv", ties: tuple[str, ...] = ("first_seq", "customer_id")) -> DataFrame:
@@ -19,7 +20,14 @@ def top_x(rows: DataFrame, x: int, by: str = "ltv", ties: tuple[str, ...] = ("fi
     return rows.orderBy(*order).limit(x)
 
 
-def dense_rank_x(rows: DataFrame, k: int, by: str = "ltv", rank: str = "rank") -> DataFrame:
+def dense_rank_x(
+    rows: DataFrame,
+    k: int,
+    by: str = "ltv",
+    rank: str = "rank",
+    spread_by: str = "customer_id",
+    broadcast_ranks: int = BROADCAST_RANKS,
+) -> DataFrame:
     """All rows whose dense rank by `by` descending is at most k, with that rank.
 
     Ranks the k highest distinct values only and joins them back. A window over all rows would
@@ -27,9 +35,12 @@ def dense_rank_x(rows: DataFrame, k: int, by: str = "ltv", rank: str = "rank") -
     """
     values = rows.select(by).where(F.col(by).isNotNull()).distinct().orderBy(F.desc(by)).limit(k)
     ranked = values.withColumn(rank, F.dense_rank().over(Window.orderBy(F.desc(by))).cast("bigint"))
-    if k <= BROADCAST_RANKS:
-        ranked = F.broadcast(ranked)
-    return rows.join(ranked, by, "inner")
+    if k <= broadcast_ranks:
+        return rows.join(F.broadcast(ranked), by, "inner")
+    # Very many rows may share one value: each rank is repeated, and those rows are spread over the copies.
+    copies = ranked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_COPIES - 1))))
+    part = F.pmod(F.xxhash64(spread_by), F.lit(_COPIES)).cast("int")
+    return rows.withColumn("_part", part).join(copies, [by, "_part"], "inner").drop("_part")
 
 
 def top_per_group(rows: DataFrame, group: str, k: int, by: str = "ltv", tie: str = "customer_id") -> DataFrame:

@@ -25,6 +25,10 @@ from perennia.schema import (
 BAD_TIME_POLICIES = ("null_week", "skip")
 
 
+def _in(values: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
 def fault(columns: list[str], bad_time: str = "null_week") -> Column:
     """Why an event can never be applied, NULL for a valid event.
 
@@ -33,37 +37,31 @@ def fault(columns: list[str], bad_time: str = "null_week") -> Column:
     """
     if bad_time not in BAD_TIME_POLICIES:
         raise ValueError(f"unknown bad_time policy {bad_time!r}, expected one of {BAD_TIME_POLICIES}")
-    kind = F.col("type")
-    order = kind == ORDER
-    upserted = kind.isin(*UPSERTED)
+    order = f"type = '{ORDER}'"
+    upserted = f"type IN {_in(UPSERTED)}"
 
-    checks: list[tuple[Column, str]] = []
+    checks: list[tuple[str, str]] = []
     if CORRUPT_COLUMN in columns:
-        checks.append((F.col(CORRUPT_COLUMN).isNotNull(), CORRUPT))
-    checks.append((kind.isNull(), MISSING + "type"))
+        checks.append((f"{CORRUPT_COLUMN} IS NOT NULL", CORRUPT))
+    checks.append(("type IS NULL", MISSING + "type"))
     if "event_time" in columns:
-        checks.append((F.col("event_time").isNull(), MISSING + "event_time"))
+        checks.append(("event_time IS NULL", MISSING + "event_time"))
     checks += [
-        (~kind.isin(*ALL_TYPES), IGNORED_TYPE),
-        (F.col("key").isNull(), MISSING + "key"),
-        ((kind != CUSTOMER) & F.col("customer_id").isNull(), MISSING + "customer_id"),
+        (f"type NOT IN {_in(ALL_TYPES)}", IGNORED_TYPE),
+        ("key IS NULL", MISSING + "key"),
+        (f"type <> '{CUSTOMER}' AND customer_id IS NULL", MISSING + "customer_id"),
     ]
     if "total_amount" in columns:
-        checks.append((order & F.col("total_amount").isNull(), MISSING + "total_amount"))
+        checks.append((f"{order} AND total_amount IS NULL", MISSING + "total_amount"))
     # The amount is read before the verb: a junk NEW creates no order.
     checks += [
-        (order & F.col("amount").isNull(), INVALID_AMOUNT),
-        (upserted & F.col("verb").isNull(), MISSING + "verb"),
-        (upserted & ~F.col("verb").isin(NEW, UPDATE), IGNORED_VERB),
+        (f"{order} AND amount IS NULL", INVALID_AMOUNT),
+        (f"{upserted} AND verb IS NULL", MISSING + "verb"),
+        (f"{upserted} AND verb NOT IN {_in((NEW, UPDATE))}", IGNORED_VERB),
     ]
     if bad_time == "skip":
-        checks.append(((kind == SITE_VISIT) & F.col("event_date").isNull(), INVALID_EVENT_TIME))
-
-    (condition, name), *rest = checks
-    reason = F.when(condition, name)
-    for condition, name in rest:
-        reason = reason.when(condition, name)
-    return reason
+        checks.append((f"type = '{SITE_VISIT}' AND event_date IS NULL", INVALID_EVENT_TIME))
+    return F.expr("CASE " + " ".join(f"WHEN {check} THEN '{reason}'" for check, reason in checks) + " END")
 
 
 def valid_events(log: DataFrame, bad_time: str = "null_week") -> DataFrame:

@@ -21,7 +21,7 @@ def alive_events(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     events = valid_events(log.where(F.col("type").isin(*ALL_TYPES)))
     owned = events.withColumn("owner", F.when(F.col("type") == CUSTOMER, F.col("key")).otherwise(F.col("customer_id")))
     creates = (F.col("type") == SITE_VISIT) | ((F.col("type") == CUSTOMER) & (F.col("verb") == NEW))
-    born = attach_first(owned, ["owner"], F.when(creates, F.col("seq")), "born_seq", hot_rows)
+    born = attach_first(owned, ["owner"], F.when(creates, F.col("seq")), "born_seq", hot_rows=hot_rows)
     return born.where(F.col("seq") >= F.col("born_seq"))
 
 
@@ -42,7 +42,7 @@ def customer_touches(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     sales = alive.where(F.col("type") == ORDER)
     is_new = F.col("verb") == NEW
-    placed = attach_first(sales, ["owner", "key"], F.when(is_new, F.col("seq")), "placed_seq", hot_rows)
+    placed = attach_first(sales, ["owner", "key"], F.when(is_new, F.col("seq")), "placed_seq", hot_rows=hot_rows)
     accepted = placed.where(
         (F.col("seq") == F.col("placed_seq")) | ((F.col("verb") == UPDATE) & (F.col("seq") > F.col("placed_seq")))
     )

@@ -57,17 +57,8 @@ RAW_FIELDS = (
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in RAW_FIELDS])
 
 # Columns an entity row may carry besides its key; a log brings those it has.
-PAYLOAD = (
-    "customer_id",
-    "event_time",
-    "event_date",
-    "amount",
-    "last_name",
-    "adr_city",
-    "adr_state",
-    "tags",
-    "camera_make",
-    "camera_model",
-)
-
 CUSTOMER_FIELDS = ("last_name", "adr_city", "adr_state")
+FACT_FIELDS = ("customer_id", "event_time", "event_date", "amount", "tags", "camera_make", "camera_model")
+PAYLOAD = FACT_FIELDS + CUSTOMER_FIELDS
+# What the lifetime value needs of visits and orders.
+LTV_FIELDS = ("customer_id", "event_date", "amount")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from perennia.functions.money import parse_amount
 from perennia.operators.fold import Entities, customer_rows, fold
-from perennia.schema import AMOUNT, CUSTOMER, IMAGE, NEW, ORDER, SITE_VISIT, UPDATE
+from perennia.schema import AMOUNT, CUSTOMER, CUSTOMER_FIELDS, FACT_FIELDS, IMAGE, ORDER, SITE_VISIT
 
 # Which event type of the clickstream plays which entity event.
 ROLE = {"signup": CUSTOMER, "view": SITE_VISIT, "click": IMAGE, "purchase": ORDER}
@@ -21,60 +21,39 @@ def event_log_from_tables(events: DataFrame, types: tuple[str, ...] | None = Non
     of no known type. `types` filters the source column, which the scan can use; a filter on the
     derived `type` could not reach it.
     """
-    source = F.col("event_type")
     if types is not None:
-        events = events.where(source.isin(*[name for name, entity in ROLE.items() if entity in types]))
-    # A column of its own, so that the JSON is parsed once for all that derives from it.
-    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    k = F.col("k")
-    role = F.lit("OTHER")
-    for name, entity in ROLE.items():
-        role = F.when(source == name, entity).otherwise(role)
-    user = F.col("user_id")
-    pair = F.call_function("div", F.col("event_id"), F.lit(2))
-    verb = (
-        F.when(source == "click", "UPLOAD")
-        .when(source == "view", NEW)
-        .when(k % 3 == 0, UPDATE)
-        .otherwise(NEW)
-    )
-    key = (
-        F.when(source == "signup", user)
-        .when(source == "purchase", F.call_function("div", user, F.lit(2)) * 10 + k % 7)
-        .otherwise(pair)
-    )
-    amount = F.when(k % 17 == 0, "N/A").otherwise(
-        F.concat(F.col("value").cast("decimal(18,2)").cast("string"), F.lit(" USD"))
-    )
-    signup = source == "signup"
-    tagged = F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(
-        F.concat(F.lit("["), F.col("props"), F.lit("]"))
-    )
-    log = events.select(
-        F.col("event_id").alias("seq"),
-        role.alias("type"),
-        verb.alias("verb"),
-        key.alias("key"),
-        user.alias("customer_id"),
-        F.col("ts"),
-        F.when(k % 19 != 0, F.col("ts").cast("date")).alias("event_date"),
-        F.when(source == "purchase", amount).alias("total_amount"),
-        F.when(signup & (k % 7 != 0), F.concat(F.lit("Name"), k)).alias("last_name"),
-        F.when(signup & (k % 11 != 0), F.concat(F.lit("City"), k % 10)).alias("adr_city"),
-        F.when(signup, F.concat(F.lit("State"), k % 5)).alias("adr_state"),
-        F.when(source == "view", tagged).alias("tags"),
-        F.when((source == "click") & (k % 4 != 0), F.concat(F.lit("Make"), k % 4)).alias("camera_make"),
-        F.when(source == "click", F.concat(F.lit("Model"), k % 9)).alias("camera_model"),
-    )
-    return log.withColumn("amount", parse_amount(F.col("total_amount")))
+        events = events.where(F.col("event_type").isin(*[name for name, role in ROLE.items() if role in types]))
+    # A generator parses the JSON once per row. As a plain function it would be inlined, and parsed
+    # again, wherever a filter or column uses `k`.
+    parsed = events.select("*", F.json_tuple("props", "k").alias("k_text")).withColumn("k", F.expr("int(k_text)"))
+    roles = " ".join(f"WHEN '{name}' THEN '{role}'" for name, role in ROLE.items())
+    return parsed.selectExpr(
+        "event_id AS seq",
+        f"CASE event_type {roles} ELSE 'OTHER' END AS type",
+        "CASE WHEN event_type = 'click' THEN 'UPLOAD' WHEN event_type = 'view' THEN 'NEW'"
+        " WHEN k % 3 = 0 THEN 'UPDATE' ELSE 'NEW' END AS verb",
+        "CASE event_type WHEN 'signup' THEN user_id WHEN 'purchase' THEN (user_id div 2) * 10 + k % 7"
+        " ELSE event_id div 2 END AS key",
+        "user_id AS customer_id",
+        "ts",
+        "CASE WHEN k % 19 <> 0 THEN date(ts) END AS event_date",
+        "CASE WHEN event_type = 'purchase' THEN"
+        " if(k % 17 = 0, 'N/A', concat(CAST(value AS DECIMAL(18,2)), ' USD')) END AS total_amount",
+        "CASE WHEN event_type = 'signup' AND k % 7 <> 0 THEN concat('Name', k) END AS last_name",
+        "CASE WHEN event_type = 'signup' AND k % 11 <> 0 THEN concat('City', k % 10) END AS adr_city",
+        "CASE WHEN event_type = 'signup' THEN concat('State', k % 5) END AS adr_state",
+        "CASE WHEN event_type = 'view' THEN if(event_id % 2 = 0, props, concat('[', props, ']')) END AS tags",
+        "CASE WHEN event_type = 'click' AND k % 4 <> 0 THEN concat('Make', k % 4) END AS camera_make",
+        "CASE WHEN event_type = 'click' THEN concat('Model', k % 9) END AS camera_model",
+    ).withColumn("amount", parse_amount(F.col("total_amount")))
 
 
 def entities_from_tables(events: DataFrame, bad_time: str = "null_week") -> Entities:
     """Current entities of the clickstream table; each side scans only the event types it needs."""
     facts = (SITE_VISIT, IMAGE, ORDER)
     return Entities(
-        customer=customer_rows(fold(event_log_from_tables(events, (CUSTOMER,)), (CUSTOMER,), bad_time)),
-        facts=fold(event_log_from_tables(events, facts), facts, bad_time),
+        customer=customer_rows(fold(event_log_from_tables(events, (CUSTOMER,)), (CUSTOMER,), bad_time, CUSTOMER_FIELDS)),
+        facts=fold(event_log_from_tables(events, facts), facts, bad_time, FACT_FIELDS),
     )
 
 

@@ -94,14 +94,22 @@ def stream_top(
 ) -> StreamingQuery:
     """Refresh the x customers of highest value after every batch, in `folder`/top/batch=N.
 
-    The value stacks two aggregations, which one streaming query cannot; so each batch adds its
-    aggregates to `folder`/state and the value is computed from that as a batch query.
+    The value stacks two aggregations, which one streaming query cannot; so each batch merges its
+    aggregates into a snapshot of the state and the value is computed from that as a batch query.
+    Two snapshots take turns: batch N reads that of N-1 and replaces that of N-2, so a batch that is
+    tried again finds what it read the first time, and storage stays at twice the state.
     """
 
     def refresh(rows: DataFrame, batch: int) -> None:
-        _write_batch(partial_state(_known(rows, "null_week"), *_KEYS), f"{folder}/state", batch)
-        current = entities_of_state(read_state(rows.sparkSession, f"{folder}/state"))
-        _write_batch(result_columns(top_x(ltv(current, week_policy), x)), f"{folder}/top", batch)
+        spark = rows.sparkSession
+        current, previous = f"{folder}/state/slot={batch % 2}", f"{folder}/state/slot={(batch - 1) % 2}"
+        partials = partial_state(_known(rows, "null_week"), *_KEYS)
+        if batch > 0:
+            partials = merge_partials(partials.unionByName(spark.read.parquet(previous)), *_KEYS)
+        partials.write.mode("overwrite").parquet(current)
+        state = resolve(spark.read.parquet(current), *_KEYS)
+        top = top_x(ltv(entities_of_state(state), week_policy), x)
+        _write_batch(result_columns(top), f"{folder}/top", batch)
 
     return (
         log.writeStream.foreachBatch(refresh)

@@ -42,3 +42,5 @@ def test_dense_rank(spark):
     rows = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 4.0), (4, 3.0), (5, 3.0)], "customer_id int, ltv double")
     assert sorted((r.customer_id, r["rank"]) for r in dense_rank_x(rows, 2).collect()) == [(1, 1), (2, 1), (3, 2)]
     assert dense_rank_x(rows, 9).count() == 5
+    wide = dense_rank_x(rows, 2, broadcast_ranks=0)
+    assert sorted((r.customer_id, r["rank"]) for r in wide.collect()) == [(1, 1), (2, 1), (3, 2)]

@@ -89,6 +89,10 @@ def test_event_log(spark, folder):
     assert log.where("type = 'OTHER'").select("source_type").distinct().count() == 3
     plan = entities(log).customer._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(type" in plan
+    # Images are not read for the lifetime value, nor are their columns.
+    scans = [s for s in ltv(entities(log))._jdf.queryExecution().executedPlan().toString().split("FileScan")[1:]]
+    assert all("SITE_VISIT,ORDER" in s or "= CUSTOMER" in s for s in scans)
+    assert all("camera_model" not in s.split("ReadSchema")[1].split("\n")[0] for s in scans)
 
 
 def test_union_of_logs(spark, folder):
