@@ -26,7 +26,7 @@ from perennia.plans import reports
 from perennia.plans.ltv import customer_metrics, ltv, ltv_timeframe, result_columns, score
 from perennia.plans.ltv_sql import ltv_sql
 from perennia.plans.ltv_touch import touch_ltv, touch_profiles
-from perennia.schema import ALL_TYPES, CUSTOMER, LTV_FIELDS, ORDER, SITE_VISIT
+from perennia.schema import ALL_TYPES, CUSTOMER, FACT_FIELDS, LTV_FIELDS, ORDER, SITE_VISIT
 from perennia.session import configure, work_folder
 from perennia.sources.event_log import union_logs
 from perennia.sources.json_events import from_json_lines, to_json_lines
@@ -44,8 +44,8 @@ def _log(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
     return event_log_from_tables(_table(spark, sf_dir, "events"), types or None)
 
 
-def _entities(spark: SparkSession, sf_dir: str) -> Entities:
-    return entities_from_tables(_table(spark, sf_dir, "events"))
+def _entities(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = LTV_FIELDS) -> Entities:
+    return entities_from_tables(_table(spark, sf_dir, "events"), columns=columns)
 
 
 def _log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,12 +143,12 @@ def _cross_year(policy):
 
 
 def bad_time_null_week(spark, sf_dir):
-    metrics = customer_metrics(fold(_log(spark, sf_dir, SITE_VISIT, ORDER), (SITE_VISIT, ORDER), "null_week"))
+    metrics = customer_metrics(fold(_log(spark, sf_dir, SITE_VISIT, ORDER), (SITE_VISIT, ORDER), "null_week", LTV_FIELDS))
     return score(metrics.fillna({"visits": 0})).select("customer_id", "visits", "weeks", "visits_per_week")
 
 
 def bad_time_skip(spark, sf_dir):
-    metrics = customer_metrics(fold(_log(spark, sf_dir, SITE_VISIT, ORDER), (SITE_VISIT, ORDER), "skip"))
+    metrics = customer_metrics(fold(_log(spark, sf_dir, SITE_VISIT, ORDER), (SITE_VISIT, ORDER), "skip", LTV_FIELDS))
     return score(metrics.fillna({"visits": 0})).select("customer_id", "visits", "weeks", "visits_per_week")
 
 
@@ -164,11 +164,11 @@ def order_current(spark, sf_dir):
 
 
 def site_visit_current(spark, sf_dir):
-    return _entities(spark, sf_dir).site_visit.select("page_id", "customer_id", "event_date", "tags")
+    return _entities(spark, sf_dir, FACT_FIELDS).site_visit.select("page_id", "customer_id", "event_date", "tags")
 
 
 def image_current(spark, sf_dir):
-    return _entities(spark, sf_dir).image.select("image_id", "customer_id", "camera_make", "camera_model")
+    return _entities(spark, sf_dir, FACT_FIELDS).image.select("image_id", "customer_id", "camera_make", "camera_model")
 
 
 def dispositions(spark, sf_dir):
@@ -196,13 +196,13 @@ def events_by_type_verb(spark, sf_dir):
 
 
 def weekly_visit_histogram(spark, sf_dir):
-    facts = fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,))
+    facts = fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,), columns=LTV_FIELDS)
     return reports.weekly_visit_histogram(facts).withColumn("week", F.coalesce("week", F.lit(-1)))
 
 
 def visit_week_map(spark, sf_dir):
     """The map printed as text `week:visits,...`."""
-    weeks = reports.visit_week_map(fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,)))
+    weeks = reports.visit_week_map(fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,), columns=LTV_FIELDS))
     entries = F.transform(
         F.map_entries("weeks"), lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string"))
     )
@@ -210,11 +210,11 @@ def visit_week_map(spark, sf_dir):
 
 
 def visits_per_customer(spark, sf_dir):
-    return reports.visits_per_customer(fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,)))
+    return reports.visits_per_customer(fold(_log(spark, sf_dir, SITE_VISIT), (SITE_VISIT,), columns=LTV_FIELDS))
 
 
 def revenue_per_customer(spark, sf_dir):
-    return reports.revenue_per_customer(fold(_log(spark, sf_dir, ORDER), (ORDER,)))
+    return reports.revenue_per_customer(fold(_log(spark, sf_dir, ORDER), (ORDER,), columns=LTV_FIELDS))
 
 
 def visits_per_week(spark, sf_dir):
@@ -297,7 +297,7 @@ def union_of_logs(spark, sf_dir):
         "customer_id", "event_date", "amount", (F.col("key") + 1_000_000_000).alias("seq"),
         F.lit("0 USD").alias("total_amount"),
     )
-    return reports.revenue_per_customer(fold(union_logs(_log(spark, sf_dir, ORDER), bought), (ORDER,)))
+    return reports.revenue_per_customer(fold(union_logs(_log(spark, sf_dir, ORDER), bought), (ORDER,), columns=LTV_FIELDS))
 
 
 # --- streaming --------------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""Give every event the first position of its group, without gathering a hot group in one task."""
+"""Joins back to rows that do not gather a hot group in one task."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # A group of more rows than this is hot.
 HOT_ROWS = 1_000_000
 _SPREAD = 4096
+# Copies of the one row a hot group is joined to.
+_COPIES = 64
 
 
 def attach_first(
@@ -42,3 +44,19 @@ def attach_first(
     joined = events.join(F.broadcast(hot), keys, "left").withColumn("_part", part).join(cold, [*keys, "_part"], "left")
     first = F.when(member, F.coalesce("_hot_first", "_first"))
     return joined.withColumn(alias, first).drop("_part", "_hot", "_hot_first", "_first")
+
+
+def join_unique(rows: DataFrame, unique: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of rows, whose `key` may repeat, with a side where it does not.
+
+    Keys of more than `hot_rows` rows, of which at most rows / hot_rows exist, are marked on both sides
+    by a broadcast: their rows are spread over copies of the one row they meet.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(counts.where(F.col("_rows") > hot_rows).select(key, F.lit(True).alias("_hot")))
+    # The partition id tells apart rows that are equal in every column; it is the same when a task is repeated.
+    spread = 1 + F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(_COPIES)).cast("int")
+    left = rows.join(hot, key, "left").withColumn("_part", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(1), F.lit(_COPIES))).otherwise(F.array(F.lit(0)))
+    right = unique.join(hot, key, "left").withColumn("_part", F.explode(copies)).drop("_hot")
+    return left.join(right, [key, "_part"]).drop("_part")

@@ -8,8 +8,8 @@ row leave gaps in the ranks), and a customer listed twice appears twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from perennia.operators.lookup import HOT_ROWS, join_unique
 from perennia.operators.rank import dense_rank_x
 
 # Weeks of the year fit the bits of one long, so the distinct weeks need no second shuffle.
@@ -40,15 +40,17 @@ def scored_visitors(site_visit: DataFrame, orders: DataFrame) -> DataFrame:
     return site_visit.sparkSession.sql(_SCORED, site_visit=site_visit, orders=orders)
 
 
-def ltv_sql(customer: DataFrame, site_visit: DataFrame, orders: DataFrame, k: int | None = None) -> DataFrame:
+def ltv_sql(
+    customer: DataFrame, site_visit: DataFrame, orders: DataFrame, k: int | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Lifetime value of all visiting customers, or of those ranked 1 to k (ties included) with the rank.
 
     `site_visit` has (customer_id, event_date), `orders` (customer_id, amount) and `customer`
     (customer_id, last_name, adr_city, adr_state), the last possibly with repeated ids.
     """
-    scored = scored_visitors(site_visit, orders)
-    people = customer.select("customer_id", "last_name", "adr_city", "adr_state")
-    if k is None:
-        return people.join(scored, "customer_id").select(*people.columns, "ltv")
-    ranked = dense_rank_x(scored, k)
-    return people.join(ranked, "customer_id").select(*people.columns, F.col("ltv"), F.col("rank"))
+    scored = scored_visitors(site_visit, orders).select("customer_id", "ltv")
+    if k is not None:
+        scored = dense_rank_x(scored, k)
+    ranks = [c for c in scored.columns if c not in ("customer_id", "ltv")]
+    joined = join_unique(customer, scored, "customer_id", hot_rows)
+    return joined.select("customer_id", "last_name", "adr_city", "adr_state", "ltv", *ranks)

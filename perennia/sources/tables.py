@@ -48,12 +48,14 @@ def event_log_from_tables(events: DataFrame, types: tuple[str, ...] | None = Non
     ).withColumn("amount", parse_amount(F.col("total_amount")))
 
 
-def entities_from_tables(events: DataFrame, bad_time: str = "null_week") -> Entities:
+def entities_from_tables(
+    events: DataFrame, bad_time: str = "null_week", columns: tuple[str, ...] = FACT_FIELDS
+) -> Entities:
     """Current entities of the clickstream table; each side scans only the event types it needs."""
     facts = (SITE_VISIT, IMAGE, ORDER)
     return Entities(
         customer=customer_rows(fold(event_log_from_tables(events, (CUSTOMER,)), (CUSTOMER,), bad_time, CUSTOMER_FIELDS)),
-        facts=fold(event_log_from_tables(events, facts), facts, bad_time, FACT_FIELDS),
+        facts=fold(event_log_from_tables(events, facts), facts, bad_time, columns),
     )
 
 

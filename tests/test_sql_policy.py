@@ -1,8 +1,10 @@
+import pytest
 from fixtures import C1, C4, C5, C10, D1_EVENTS, D2_CUSTOMERS, D2_ORDERS, D2_RESULT, D2_VISITS
 from helpers import log_of
 from pyspark.sql import functions as F
 
 from perennia import entities, ltv_sql
+from perennia.operators.lookup import join_unique
 from perennia.sources.inline import inline_relation
 
 
@@ -17,8 +19,9 @@ def d2(spark):
     )
 
 
-def test_repeated_customer_fans_out(spark):
-    rows = ltv_sql(*d2(spark), k=4).collect()
+@pytest.mark.parametrize("hot_rows", [0, 1, 10**6])
+def test_repeated_customer_fans_out(spark, hot_rows):
+    rows = ltv_sql(*d2(spark), k=4, hot_rows=hot_rows).collect()
     assert {(r.customer_id, r.last_name): (r.ltv, r["rank"]) for r in rows} == D2_RESULT
     assert len(rows) == 5
     assert spark.table("d2_customer").count() == 5
@@ -47,6 +50,14 @@ def test_visitor_without_orders_and_customer_without_visits(spark):
     assert "Bill" not in {r.last_name for r in rows}
 
 
+def test_equal_rows_of_a_hot_customer_are_kept_and_spread(spark):
+    rows = spark.createDataFrame([("a", 1)], "k string, v int").select(F.explode(F.array_repeat("k", 5000)).alias("k"), "v")
+    rows = rows.repartition(16).unionByName(spark.createDataFrame([("b", 2)], "k string, v int"))
+    unique = spark.createDataFrame([("a", 10), ("b", 20), ("c", 30)], "k string, w int")
+    joined = join_unique(rows, unique, "k", hot_rows=100)
+    assert {(r.k, r.w): r["count"] for r in joined.groupBy("k", "w").count().collect()} == {("a", 10): 5000, ("b", 20): 1}
+
+
 def test_policies_agree_on_the_golden_data(spark, folder):
     current = entities(log_of(spark, folder, D1_EVENTS))
     rows = ltv_sql(current.customer, current.site_visit, current.orders, k=4).collect()
