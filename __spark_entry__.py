@@ -23,12 +23,14 @@ from perennia.operators.dispositions import event_dispositions, rejects
 from perennia.operators.fold import Entities, entities, entities_of, entities_of_state, fold
 from perennia.operators.rank import dense_rank_x, top_x
 from perennia.plans import reports
+from perennia.plans.ingest import ingest, stored_entities
 from perennia.plans.ltv import customer_metrics, ltv, ltv_timeframe, result_columns, score
 from perennia.plans.ltv_sql import ltv_sql
 from perennia.plans.ltv_touch import touch_ltv, touch_profiles
 from perennia.schema import ALL_TYPES, CUSTOMER, FACT_FIELDS, LTV_FIELDS, ORDER, SITE_VISIT
 from perennia.session import configure, work_folder
-from perennia.sources.event_log import union_logs
+from perennia.sinks import result_document
+from perennia.sources.event_log import read_event_log, union_logs, write_event_log
 from perennia.sources.json_events import from_json_lines, to_json_lines
 from perennia.sources.tables import entities_from_tables, event_log_from_tables, relations_from_orders
 from perennia.streaming import jobs
@@ -300,6 +302,34 @@ def union_of_logs(spark, sf_dir):
     return reports.revenue_per_customer(fold(union_logs(_log(spark, sf_dir, ORDER), bought), (ORDER,), columns=LTV_FIELDS))
 
 
+def result_document_top10(spark, sf_dir):
+    """The ten highest customers as one JSON document."""
+    return result_document(ltv(_entities(spark, sf_dir)), 10)
+
+
+def _ingested(spark, sf_dir):
+    """Run the ingest job over the whole log; returns the folder of its tables."""
+    folder = work_folder(spark, "ingest")
+    ingest(_log(spark, sf_dir), folder)
+    return folder
+
+
+def ingested_ltv(spark, sf_dir):
+    return result_columns(ltv(stored_entities(spark, _ingested(spark, sf_dir))))
+
+
+def ingested_rejects(spark, sf_dir):
+    stored = spark.read.parquet(f"{_ingested(spark, sf_dir)}/rejects")
+    return stored.select("reason", "type", "key", "seq")
+
+
+def event_log_by_type_verb(spark, sf_dir):
+    """Written as the partitioned log and read back."""
+    folder = work_folder(spark, "log")
+    write_event_log(_log(spark, sf_dir), folder)
+    return reports.events_by_type_verb(read_event_log(spark, folder))
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 
@@ -333,7 +363,7 @@ def stream_weekly_visits(spark, sf_dir):
 
 def stream_first_seen(spark, sf_dir):
     out = _run_stream(spark, sf_dir, "first", jobs.stream_first_seen)
-    return spark.read.parquet(out).select("type", "key").distinct()
+    return spark.read.parquet(out).select("type", "key")
 
 
 def stream_ingested_log(spark, sf_dir):
@@ -382,6 +412,10 @@ _QUERIES: dict[str, Query] = {
     "parsed_amounts": parsed_amounts,
     "json_round_trip": json_round_trip,
     "union_of_logs": union_of_logs,
+    "result_document_top10": result_document_top10,
+    "ingested_ltv": ingested_ltv,
+    "ingested_rejects": ingested_rejects,
+    "event_log_by_type_verb": event_log_by_type_verb,
     "stream_state_equals_batch": stream_state_equals_batch,
     "stream_partials_ltv": stream_partials_ltv,
     "stream_ltv_top10": stream_ltv_top10,

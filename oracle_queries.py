@@ -302,6 +302,15 @@ ORACLES: dict[str, str] = {
         FROM (SELECT customer_id, amount FROM state WHERE type = 'ORDER'
               UNION ALL SELECT o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) FROM orders) AS u
         GROUP BY customer_id""",
+    "result_document_top10": f"""{_FOLDED},
+        top AS (SELECT *, row_number() OVER (ORDER BY ltv DESC, first_seq) AS rn FROM scored)
+        SELECT CAST(to_json(list(json_array(customer_id, json_array(
+                 last_name, adr_city, adr_state, revenue_per_visit, visits_per_week, ltv)) ORDER BY rn)) AS VARCHAR) AS value
+        FROM top WHERE rn <= 10""",
+    "ingested_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
+    "ingested_rejects": f"""WITH {_dispositions()}
+        SELECT disposition AS reason, type, key, seq FROM judged WHERE disposition <> 'APPLIED'""",
+    "event_log_by_type_verb": _BY_TYPE_VERB,
     "stream_state_equals_batch": f"""WITH {_fold()}
         SELECT type, key, customer_id, CAST(amount AS DOUBLE) AS amount, first_seq, last_seq FROM state""",
     "stream_partials_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",

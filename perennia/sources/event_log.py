@@ -34,7 +34,10 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def union_logs(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """Events of several logs as one; a field one of them lacks is NULL."""
+    """Events of several logs as one; a field one of them lacks is NULL.
+
+    Their positions must be of one kind and must not repeat from log to log, as those of files do not.
+    """
     for other in others:
         first = first.unionByName(other, allowMissingColumns=True)
     return first

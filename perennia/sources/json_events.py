@@ -62,7 +62,12 @@ def read_events(spark: SparkSession, path: str | list[str], glob: str = "*") ->
 
 
 def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
-    """JSON lines, one event per line; splittable at any size. Bad lines become corrupt records."""
+    """JSON lines, one event per line; splittable at any size. Bad lines become corrupt records.
+
+    The position of a line is that within its split of the file, and a cluster that grows may split the
+    file otherwise for a second scan. So store the events with `write_event_log` (as `ingest` does) before
+    work that scans them twice, such as dispositions; a fold scans each event once.
+    """
     text = spark.read.option("pathGlobFilter", glob).text(path)
     # The id grows with the rows of one split, which is all the order needs after file and split.
     lines = text.select(
