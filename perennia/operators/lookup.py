@@ -19,10 +19,13 @@ def attach_first(
     alias: str,
     member: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Add `alias` = min(position) over the rows with equal `keys`, of which none may be NULL for a
     `member`; rows that are no members count for nothing and get NULL.
 
+    `groups` holds the rows that make up the groups where `events` are only some of them.
+
     The minimum is an aggregate that combines before the shuffle. Bringing it back to the rows would
     send all rows of a key to one task, so groups above `hot_rows` rows take another way: at most
     rows / hot_rows of them can exist, which bounds the broadcast that serves them, and their rows
@@ -31,7 +34,10 @@ def attach_first(
     """
     member = F.lit(True) if member is None else member
     firsts = (
-        events.where(member).groupBy(*keys).agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        (events if groups is None else groups)
+        .where(member)
+        .groupBy(*keys)
+        .agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     )
     hot = firsts.where(F.col("_rows") > hot_rows).select(
         *keys, F.col("_first").alias("_hot_first"), F.lit(True).alias("_hot")

@@ -16,23 +16,28 @@ from perennia.operators.validate import valid_events
 from perennia.schema import ALL_TYPES, AMOUNT, CUSTOMER, CUSTOMER_FIELDS, MONEY, NEW, ORDER, SITE_VISIT, UPDATE
 
 
-def alive_events(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Valid events from the one on that brought their customer into being, with column `owner`."""
+def alive_events(log: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Valid events, with column `owner`, from the one on that brought their customer into being.
+
+    They come in two parts: events that can bring a customer into being, which all count and need not
+    meet the others of their customer, and the rest, of which those after the first of these count.
+    """
     events = valid_events(log.where(F.col("type").isin(*ALL_TYPES)))
     owned = events.withColumn("owner", F.when(F.col("type") == CUSTOMER, F.col("key")).otherwise(F.col("customer_id")))
     creates = (F.col("type") == SITE_VISIT) | ((F.col("type") == CUSTOMER) & (F.col("verb") == NEW))
-    born = attach_first(owned, ["owner"], F.when(creates, F.col("seq")), "born_seq", hot_rows=hot_rows)
-    return born.where(F.col("seq") >= F.col("born_seq"))
+    position = F.when(creates, F.col("seq"))
+    others = attach_first(owned.where(~creates), ["owner"], position, "born_seq", hot_rows=hot_rows, groups=owned)
+    return owned.where(creates), others.where(F.col("seq") > F.col("born_seq")).drop("born_seq")
 
 
 def customer_touches(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(customer_id, visits, weeks, revenue) of every customer that came into being."""
-    alive = alive_events(log, hot_rows).withColumn("week_bit", week_bits(F.col("event_date")))
+    creators, others = alive_events(log.withColumn("week_bit", week_bits(F.col("event_date"))), hot_rows)
 
     # Pages and images count once per customer; a customer event is its own group by its position.
     own_seq = F.when(F.col("type") == CUSTOMER, F.col("seq"))
     once = (
-        alive.where(F.col("type") != ORDER)
+        creators.unionByName(others.where(F.col("type") != ORDER))
         .groupBy("owner", "type", "key", own_seq.alias("own_seq"))
         .agg(F.min_by("week_bit", "seq").alias("week_bit"))
         .select(
@@ -40,7 +45,7 @@ def customer_touches(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         )
     )
 
-    sales = alive.where(F.col("type") == ORDER)
+    sales = others.where(F.col("type") == ORDER)
     is_new = F.col("verb") == NEW
     placed = attach_first(sales, ["owner", "key"], F.when(is_new, F.col("seq")), "placed_seq", hot_rows=hot_rows)
     accepted = placed.where(
@@ -89,7 +94,8 @@ def touch_ltv(
 
 def touch_profiles(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Attributes of every customer that came into being: those of its last customer event, if any."""
-    alive = alive_events(log, hot_rows)
+    creators, others = alive_events(log, hot_rows)
+    alive = creators.unionByName(others)
     position = F.when(F.col("type") == CUSTOMER, F.col("seq"))
     fields = [F.max_by(F.col(c), position).alias(c) for c in CUSTOMER_FIELDS if c in log.columns]
     return alive.groupBy(F.col("owner").alias("customer_id")).agg(F.max(position).alias("profile_seq"), *fields)
