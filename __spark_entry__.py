@@ -144,14 +144,13 @@ def _cross_year(policy):
     return query
 
 
-def bad_time_null_week(spark, sf_dir):
-    metrics = customer_metrics(fold(_log(spark, sf_dir, SITE_VISIT, ORDER), (SITE_VISIT, ORDER), "null_week", LTV_FIELDS))
-    return score(metrics.fillna({"visits": 0})).select("customer_id", "visits", "weeks", "visits_per_week")
-
+def _bad_time(policy):
+    def query(spark, sf_dir):
+        log = _log(spark, sf_dir, SITE_VISIT, ORDER)
+        metrics = customer_metrics(fold(log, (SITE_VISIT, ORDER), policy, LTV_FIELDS))
+        return score(metrics).select("customer_id", "visits", "weeks", "visits_per_week")
 
-def bad_time_skip(spark, sf_dir):
-    metrics = customer_metrics(fold(_log(spark, sf_dir, SITE_VISIT, ORDER), (SITE_VISIT, ORDER), "skip", LTV_FIELDS))
-    return score(metrics.fillna({"visits": 0})).select("customer_id", "visits", "weeks", "visits_per_week")
+    return query
 
 
 # --- entities, dispositions, reports ----------------------------------------------------------
@@ -299,7 +298,8 @@ def union_of_logs(spark, sf_dir):
         "customer_id", "event_date", "amount", (F.col("key") + 1_000_000_000).alias("seq"),
         F.lit("0 USD").alias("total_amount"),
     )
-    return reports.revenue_per_customer(fold(union_logs(_log(spark, sf_dir, ORDER), bought), (ORDER,), columns=LTV_FIELDS))
+    both = union_logs(_log(spark, sf_dir, ORDER), bought)
+    return reports.revenue_per_customer(fold(both, (ORDER,), columns=LTV_FIELDS))
 
 
 def result_document_top10(spark, sf_dir):
@@ -385,8 +385,8 @@ _QUERIES: dict[str, Query] = {
     "ltv_cross_year_u": _cross_year("sunday_u"),
     "ltv_cross_year_iso": _cross_year("iso"),
     "ltv_cross_year_calendar": _cross_year("sunday_calendar"),
-    "bad_time_null_week": bad_time_null_week,
-    "bad_time_skip": bad_time_skip,
+    "bad_time_null_week": _bad_time("null_week"),
+    "bad_time_skip": _bad_time("skip"),
     "customer_current": customer_current,
     "order_current": order_current,
     "site_visit_current": site_visit_current,

@@ -276,8 +276,8 @@ ORACLES: dict[str, str] = {
         WHERE c.c_custkey NOT IN (SELECT customer_id FROM state WHERE type = 'SITE_VISIT')
         GROUP BY c.c_custkey""",
     "top_per_segment": f"""WITH {_cross_year(_WEEK_U)}
-        SELECT adr_state AS segment, row_number() OVER (PARTITION BY adr_state ORDER BY ltv DESC, customer_id) AS position,
-               customer_id, ltv
+        SELECT adr_state AS segment, customer_id, ltv,
+               row_number() OVER (PARTITION BY adr_state ORDER BY ltv DESC, customer_id) AS position
         FROM scored QUALIFY position <= 5""",
     "ltv_rollup_region": f"""WITH {_cross_year(_WEEK_U)}
         SELECT r.r_name AS region, n.n_name AS nation, count(*) AS customers,
@@ -305,7 +305,8 @@ ORACLES: dict[str, str] = {
     "result_document_top10": f"""{_FOLDED},
         top AS (SELECT *, row_number() OVER (ORDER BY ltv DESC, first_seq) AS rn FROM scored)
         SELECT CAST(to_json(list(json_array(customer_id, json_array(
-                 last_name, adr_city, adr_state, revenue_per_visit, visits_per_week, ltv)) ORDER BY rn)) AS VARCHAR) AS value
+                 last_name, adr_city, adr_state, revenue_per_visit, visits_per_week, ltv)
+               ) ORDER BY rn)) AS VARCHAR) AS value
         FROM top WHERE rn <= 10""",
     "ingested_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
     "ingested_rejects": f"""WITH {_dispositions()}

@@ -80,7 +80,8 @@ def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*"
     event = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
     parsed = lines.where(F.trim("value") != "").select("file", "block", "line", event.alias("event"))
     flat = parsed.select("file", "block", "line", "event.*")
-    return typed(flat.withColumn("seq", _seq(F.col("file"), F.col("block"), F.col("line"))).drop("file", "block", "line"))
+    ordered = flat.withColumn("seq", _seq(F.col("file"), F.col("block"), F.col("line")))
+    return typed(ordered.drop("file", "block", "line"))
 
 
 def stream_events(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:

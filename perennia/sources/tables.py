@@ -52,9 +52,9 @@ def entities_from_tables(
     events: DataFrame, bad_time: str = "null_week", columns: tuple[str, ...] = FACT_FIELDS
 ) -> Entities:
     """Current entities of the clickstream table; each side scans only the event types it needs."""
-    facts = (SITE_VISIT, IMAGE, ORDER)
+    people, facts = (CUSTOMER,), (SITE_VISIT, IMAGE, ORDER)
     return Entities(
-        customer=customer_rows(fold(event_log_from_tables(events, (CUSTOMER,)), (CUSTOMER,), bad_time, CUSTOMER_FIELDS)),
+        customer=customer_rows(fold(event_log_from_tables(events, people), people, bad_time, CUSTOMER_FIELDS)),
         facts=fold(event_log_from_tables(events, facts), facts, bad_time, columns),
     )
 
