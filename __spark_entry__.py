@@ -438,9 +438,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["ltv_fold_top10"](spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the subpackage `llm` and the corpus pipeline, if they are there."""
+    try:
+        import corpus_pipeline
+        from perennia.llm.oracles import ORACLES as sql
+        from perennia.llm.queries import QUERIES as found
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "perennia.llm", "perennia.llm.oracles", "perennia.llm.queries"):
+            raise
+        return {}, {}
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**found, "pipeline": corpus_pipeline.run}, {**sql, **pipeline_sql}
+
+
 def queries() -> dict[str, Query]:
-    return {name: _registered(query) for name, query in _QUERIES.items()}
+    return {name: _registered(query) for name, query in _QUERIES.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | _training_data()[1]
