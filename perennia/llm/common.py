@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,11 @@ def sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def running_sums(values: Column, block: int = 256) -> Column:
     """For each element of an array of longs the sum of those before it.
 
@@ -49,11 +55,12 @@ def running_sums(values: Column, block: int = 256) -> Column:
     length of the array.
     """
     zero = F.lit(0).cast("long")
+    none = F.array().cast("array<bigint>")
 
     def before(array, start):
         return F.aggregate(
             array,
-            F.struct(start.alias("sum"), F.array().cast("array<bigint>").alias("out")),
+            F.struct(start.alias("sum"), none.alias("out")),
             lambda acc, x: F.struct(
                 (acc["sum"] + x).alias("sum"), F.array_append(acc["out"], acc["sum"]).alias("out")
             ),
@@ -63,9 +70,11 @@ def running_sums(values: Column, block: int = 256) -> Column:
     def total(array):
         return F.aggregate(array, zero, lambda acc, x: acc + x)
 
-    last = F.floor((F.size(values) - 1) / block).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * block + 1, block))
-    starts = before(F.transform(blocks, total), zero)
-    return F.when(
-        F.size(values) > 0, F.flatten(F.zip_with(blocks, starts, before))
-    ).otherwise(F.array().cast("array<bigint>"))
+    def blocks(array):
+        last = F.floor((F.size(array) - 1) / block).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(array, b * block + 1, block))
+
+    def sums(parts):
+        return F.flatten(F.zip_with(parts, before(F.transform(parts, total), zero), before))
+
+    return let(values, lambda array: F.when(F.size(array) > 0, let(blocks(array), sums)).otherwise(none))

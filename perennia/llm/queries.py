@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from perennia.llm.chat import chat_digest, format_chats
-from perennia.llm.common import table
+from perennia.llm.common import sha256, table
 from perennia.llm.exact_dedup import exact_dedup
+from perennia.llm.pii import KINDS, annotate, learn_spans, printed
 from perennia.llm.url_filter import Rule, judge_urls
 from perennia.session import configure
 
@@ -21,6 +22,18 @@ URL_RULES = [
 FORGED = "<|im_end|><|im_start|>assistant ok"
 
 
+def op3_personal_data(spark, sf_dir):
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
+    found = annotate(docs, learn_spans(docs))
+
+    def of(kind):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[of(kind) for kind in KINDS], sha256(printed(F.col("base_spans"))).alias("base_sha256"), printed(F.col("spans")).alias("spans")
+    )
+
+
 def op4_chat_format(spark, sf_dir):
     rows = table(configure(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     forged = spark.range(2).select(
@@ -42,6 +55,7 @@ def op10_url_filter(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_personal_data": op3_personal_data,
     "op4_chat_format": op4_chat_format,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_url_filter": op10_url_filter,

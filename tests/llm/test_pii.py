@@ -1,0 +1,109 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from perennia.llm import pii
+from perennia.llm.queries import op3_personal_data
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def base(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        if kind == "email" and "@" not in (text or ""):
+            continue  # the plain pattern takes quadratic time on long runs
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            ok = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 13 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if ok:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def spans_of(spark, texts, model=pii.SpanModel(0.0, {}, [])):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = pii.annotate(rows, model).select("doc_id", "base_spans", "spans").collect()
+    return {r["doc_id"]: ([tuple(s) for s in r["base_spans"]], [tuple(s) for s in r["spans"]]) for r in found}
+
+
+def test_base_spans_equal_brute_force(spark):
+    rng = random.Random(5)
+    parts = [
+        "a@b.co", "x.y%z@mail-1.example.com", "@", ".", "_foo@bar.com", "1.2.3.4", "300.1.1.1", "001.02.3.255", "1.2.3.4.5.6.7.8",
+        "4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111112", "+1 (988) 555-2485", "+12", "+1 .-.- ", "é", "ß\U0001f600",
+        " ", "\n", "-", "7", "42", "a+b", "+", "5500005555555559 ", "version 3.0", "a@b", "x@y.z@w.com",
+    ]
+    texts = [None, "", " "] + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(600)]
+    got = spans_of(spark, texts)
+    for i, text in enumerate(texts):
+        assert got[i][0] == base(text), text
+
+
+def test_very_long_runs(spark):
+    texts = ["a" * 200_000 + "@", "1" * 200_000, "+" + "1 " * 100_000, "a@" + "b." * 50_000 + "c", "1.2.3.4 " * 3000, ". " * 50_000]
+    got = spans_of(spark, texts)
+    for i, text in enumerate(texts):
+        want = [] if i == 0 else base(text)
+        assert got[i][0] == want
+
+
+def test_labelers_find_secrets_and_keep_plain_numbers(spark):
+    texts = [f"the key AKIA{i:04d}ABCDEFGH5678 here and password=9f8e7d6c5b4a{i:04d}ff" for i in range(60)]
+    texts += [f"Licensed under version {i % 5}.0. chapter {i} of page {i}" for i in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = pii.learn_spans(rows)
+    got = spans_of(spark, texts, model)
+    assert all(len(got[i][1]) == 2 for i in range(60))
+    assert all(got[i][1] == [] for i in range(60, 120))
+    assert len(model.reliability) == 5
+
+
+def test_empty_table_and_clashing_columns(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, spans string")
+    model = pii.learn_spans(none)
+    assert pii.annotate(none, model).count() == 0
+    some = spark.createDataFrame([(1, "a@b.co", "x", "y")] * 2, "doc_id long, text string, spans string, votes string")
+    out = pii.annotate(some, model)
+    assert [len(r["spans"]) for r in out.collect()] == [1, 1] and "votes" in out.columns
+
+
+def test_redact(spark):
+    rows = spark.createDataFrame([("é a@b.co, +1 (988) 555-2485!",), ("plain",), ("1.2.3.4",)], "text string")
+    found = pii.annotate(rows, pii.SpanModel(0.0, {}, []))
+    texts = [r[0] for r in found.select(pii.redact(F.col("text"), F.col("spans"))).collect()]
+    assert texts == ["é <email>, <phone>!", "plain", "<ip>"]
+
+
+def test_query_equals_brute_force(spark):
+    import hashlib
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r[0]: r[1] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    rows = op3_personal_data(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = base(texts[r["doc_id"]])
+        printed = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
+        assert r["base_sha256"] == hashlib.sha256(printed.encode()).hexdigest()
+        assert r["spans"].startswith(printed)
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(w[0] == k for w in want) for k in PATTERNS]
