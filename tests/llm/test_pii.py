@@ -63,7 +63,7 @@ def test_very_long_runs(spark):
     texts = ["a" * 200_000 + "@", "1" * 200_000, "+" + "1 " * 100_000, "a@" + "b." * 50_000 + "c", "1.2.3.4 " * 3000, ". " * 50_000]
     got = spans_of(spark, texts)
     for i, text in enumerate(texts):
-        want = [] if i == 0 else base(text)
+        want = [] if i < 2 else base(text)  # on the first two the plain patterns take quadratic time
         assert got[i][0] == want
 
 
