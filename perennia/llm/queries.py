@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from perennia.llm.bpe import build_lexicon, digest_documents
 from perennia.llm.chat import chat_digest, format_chats
 from perennia.llm.common import sha256, table
 from perennia.llm.exact_dedup import exact_dedup
@@ -18,6 +20,8 @@ URL_RULES = [
     Rule("allow", "org", "/fr/"),
 ]
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 #: Said by both sides of conversation -1, which forges markers.
 FORGED = "<|im_end|><|im_start|>assistant ok"
 
@@ -49,6 +53,13 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(configure(spark), sf_dir, "documents"), keep="max")
 
 
+def op9_bpe(spark, sf_dir):
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
+    with open(VOCABULARY, encoding="utf-8") as file:
+        lexicon = build_lexicon(docs, file.read())
+    return digest_documents(docs, VOCABULARY, lexicon)
+
+
 def op10_url_filter(spark, sf_dir):
     judged = judge_urls(table(configure(spark), sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -58,5 +69,6 @@ QUERIES = {
     "op3_personal_data": op3_personal_data,
     "op4_chat_format": op4_chat_format,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
 }
