@@ -17,17 +17,17 @@ import mmap
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perennia.llm.common import filled
-from perennia.llm.tokens import PATTERN, WordEncoder, apart, spelt, words_of
+from perennia.llm.tokens import PATTERN, WordEncoder, apart, slices, spelt, words_of
 from perennia.session import work_folder
 
 #: Words longer than this are never put into the lexicon.
@@ -258,8 +258,7 @@ class BpeEncoder:
 
     def __init__(self, vocabulary: str, lexicon: Transducer):
         self.vocabulary, self.lexicon = Vocabulary(vocabulary), lexicon
-        self.encoder = WordEncoder(self._encode_strings)
-        self.special = sorted(self.vocabulary.special, key=len, reverse=True)
+        self.encoder = WordEncoder(self._encode_strings, {t: [i] for t, i in self.vocabulary.special.items()})
 
     def _encode_strings(self, strings: list[str]) -> list[list[int]]:
         pieces = [[p.encode() for p in PATTERN.findall(s)] for s in strings]
@@ -274,21 +273,7 @@ class BpeEncoder:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text. Special tokens written out in a text are those tokens."""
-        parts = [self._parts(t) for t in texts]
-        plain = iter(self.encoder.encode([p for ps in parts for p in ps if isinstance(p, str)]))
-        return [[i for p in ps for ids in (next(plain) if isinstance(p, str) else [[p]]) for i in ids] for ps in parts]
-
-    def _parts(self, text: str) -> list[str | int]:
-        parts: list[str | int] = [text]
-        for token in self.special:
-            if token in text:
-                new = self.vocabulary.special[token]
-                parts = [
-                    x
-                    for p in parts
-                    for x in ([p] if isinstance(p, int) else [y for s in p.split(token) for y in (new, s)][1:])
-                ]
-        return parts
+        return [list(chain.from_iterable(values)) for values in self.encoder.encode(texts)]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -320,17 +305,6 @@ def encode_documents(
     return rows.mapInArrow(encoded, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
-def slices(batch: pa.RecordBatch, column: int = 1, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of at most `most` bytes of text (or one row), so that a task's memory stays bounded."""
-    start = size = 0
-    for row, length in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
-        if row > start and size + length > most:
-            yield batch.slice(start, row - start)
-            start, size = row, 0
-        size += length
-    yield batch.slice(start)
-
-
 def digest_documents(docs: DataFrame, vocabulary_path: str, lexicon: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), made where the ids are, which then need not move."""
     with open(vocabulary_path, encoding="utf-8") as file:

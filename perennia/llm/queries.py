@@ -9,6 +9,7 @@ from perennia.llm.bpe import build_lexicon, digest_documents
 from perennia.llm.chat import chat_digest, format_chats
 from perennia.llm.common import sha256, table
 from perennia.llm.exact_dedup import exact_dedup
+from perennia.llm.packing import document_pieces, pack
 from perennia.llm.pii import KINDS, annotate, learn_spans, printed
 from perennia.llm.url_filter import Rule, judge_urls
 from perennia.session import configure
@@ -53,6 +54,10 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(configure(spark), sf_dir, "documents"), keep="max")
 
 
+def op8_packing(spark, sf_dir):
+    return pack(document_pieces(table(configure(spark), sf_dir, "documents"), VOCABULARY))
+
+
 def op9_bpe(spark, sf_dir):
     docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
     with open(VOCABULARY, encoding="utf-8") as file:
@@ -69,6 +74,7 @@ QUERIES = {
     "op3_personal_data": op3_personal_data,
     "op4_chat_format": op4_chat_format,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
 }

@@ -7,8 +7,10 @@ text is cut by the pre-tokenizer's whole pattern.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -33,11 +35,13 @@ def spelt(word: str) -> str:
 class WordEncoder:
     """Encodes texts; `encode_strings` gives the value of each string, a text is the list of its parts' values.
 
-    At most `limit` words are remembered: beyond that the memory starts anew.
+    `special` has the values of tokens that stand for themselves wherever they are written out. At
+    most `limit` words are remembered: beyond that the memory starts anew.
     """
 
-    def __init__(self, encode_strings: Callable[[list[str]], list], limit: int = 200_000):
+    def __init__(self, encode_strings: Callable[[list[str]], list], special: dict[str, object], limit: int = 200_000):
         self.encode_strings, self.limit = encode_strings, limit
+        self.special = dict(sorted(special.items(), key=lambda x: -len(x[0])))
         self.words: dict[str, object] = {}
         self.pieces: dict[str, object] = {}
 
@@ -57,6 +61,33 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[list]:
         """For each text the values of its parts, in order."""
+        special = {i: parts for i, t in enumerate(texts) if len(parts := self._parted(t)) > 1}
+        if not special:
+            return self._encode_plain(texts)
+        flat = [t for i, text in enumerate(texts) for t in special.get(i, [text])[::2]]
+        values = iter(self._encode_plain(flat))
+        out = []
+        for i in range(len(texts)):
+            out.append(list(next(values)))
+            parts = special.get(i, ())
+            for token in parts[1::2]:
+                out[-1].append(self.special[token])
+                out[-1].extend(next(values))
+        return out
+
+    def _parted(self, text: str) -> list[str]:
+        """Plain text and special tokens in turn."""
+        parts = [text]
+        for token in self.special:
+            if token in text:
+                parts = [
+                    x
+                    for i, part in enumerate(parts)
+                    for x in ([part] if i % 2 else [y for s in part.split(token) for y in (token, s)][1:])
+                ]
+        return parts
+
+    def _encode_plain(self, texts: list[str]) -> list[list]:
         split = [words_of(t) for t in texts]
         self._learn_words(w for words in split for w in words[1:])
         memory, rest, out = self.words, [], []
@@ -73,3 +104,14 @@ class WordEncoder:
         for i, pieces in rest:
             out[i][:0] = map(self.pieces.__getitem__, pieces)
         return out
+
+
+def slices(batch: pa.RecordBatch, column: int = 1, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most `most` bytes of text (or one row), so that a task's memory stays bounded."""
+    start = size = 0
+    for row, length in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        if row > start and size + length > most:
+            yield batch.slice(start, row - start)
+            start, size = row, 0
+        size += length
+    yield batch.slice(start)

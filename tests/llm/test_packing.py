@@ -1,0 +1,109 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from perennia.llm import packing
+from perennia.llm.packing import Capacity, document_pieces, pack, pack_group, piece_lengths
+from perennia.llm.queries import op8_packing
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def plain_best_fit(lengths, capacity):
+    """One by one, largest first; the same choice of sequence, by loops."""
+    bins, w = [], (1.0, 0.01, 0.01)
+    where = [None] * len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        need = (lengths[i], 1, lengths[i] ** 2)
+        best = None
+        for b, left in enumerate(bins):
+            if all(x >= y for x, y in zip(left, need)):
+                norm = sum(k * ((x - y) / c) ** 2 for k, x, y, c in zip(w, left, need, capacity))
+                if best is None or norm < best[0]:
+                    best = (norm, b)
+        if best is None:
+            bins.append(list(capacity))
+            best = (0, len(bins) - 1)
+        where[i] = best[1]
+        bins[best[1]] = [x - y for x, y in zip(bins[best[1]], need)]
+    return where, len(bins)
+
+
+@pytest.mark.parametrize("capacity", [Capacity(), Capacity(2048, 3, 2048 * 2048), Capacity(2048, 2048, 1_500_000)])
+def test_group_equals_plain_best_fit(capacity):
+    rng = random.Random(1)
+    lengths = np.array([rng.choice([1, 2, 7, rng.randint(1, 1200)]) for _ in range(900)])
+    bins, offsets = pack_group(lengths, capacity)
+    want, count = plain_best_fit(lengths.tolist(), capacity)
+    assert len(set(bins.tolist())) == count == max(want) + 1
+    for b in set(bins.tolist()):
+        inside = sorted((offsets[i], lengths[i]) for i in np.flatnonzero(bins == b))
+        at = 0
+        for offset, length in inside:
+            assert offset == at
+            at += length
+        assert at <= capacity.tokens and len(inside) <= capacity.documents
+        assert sum(x * x for _, x in inside) <= capacity.attention
+
+
+def test_dot_product_keeps_every_limit():
+    lengths = np.random.default_rng(2).integers(1, 2049, 500)
+    bins, _ = pack_group(lengths, Capacity(), by="dot")
+    assert np.bincount(bins, lengths).max() <= 2048
+    assert pack_group(np.array([], int))[0].tolist() == []
+    with pytest.raises(ValueError):
+        pack_group(np.array([2049]))
+
+
+def test_piece_lengths():
+    assert [piece_lengths(n, 4) for n in (1, 4, 5, 8, 9)] == [[1], [4], [1, 4], [4, 4], [1, 4, 4]]
+
+
+def test_pieces_and_sequences(spark):
+    library = Tokenizer.from_file(PATH)
+    rows = [(1, "word " * 5000, 0), (2, None, 0), (3, "", 0), (4, "a<|endoftext|> b\n\nc", 0), (4, "a<|endoftext|> b\n\nc", 0), (None, "é\tü", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, piece long")
+    pieces = document_pieces(docs, PATH, with_ids=True).collect()
+    joined = {}
+    for r in sorted(pieces, key=lambda r: (str(r["doc_id"]), r["piece"])):
+        joined.setdefault((r["doc_id"], r["piece"]), r)
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+    for doc_id, text, _ in rows:
+        ids = [i for (d, _), r in joined.items() if d == doc_id for i in r["ids"]]
+        assert ids == library.encode(text or "", add_special_tokens=False).ids + [0]
+    packed = pack(document_pieces(docs, PATH)).collect()
+    assert len(packed) == len(pieces)
+    assert pack(document_pieces(docs.where("false"), PATH)).count() == 0
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    library = Tokenizer.from_file(PATH)
+    texts = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    rows = op8_packing(spark, folder).collect()
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert by_doc.keys() == texts.keys()
+    total = 0
+    for doc_id, text in texts.items():
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        total += len(ids)
+        mine = sorted(by_doc[doc_id], key=lambda r: r["piece"])
+        assert [r["length"] for r in mine] == piece_lengths(len(ids), 2048)
+        assert [r["piece"] for r in mine] == list(range(len(mine)))
+        for r in mine:
+            assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
+    for inside in by_sequence.values():
+        at = 0
+        for offset, length in sorted(inside):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(by_sequence) <= -(-total // 2048) * 1.02 + 1
+    assert packing.GROUP > 1000
