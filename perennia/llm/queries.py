@@ -9,6 +9,7 @@ from perennia.llm.bpe import build_lexicon, digest_documents
 from perennia.llm.chat import chat_digest, format_chats
 from perennia.llm.common import sha256, table
 from perennia.llm.exact_dedup import exact_dedup
+from perennia.llm.minhash import near_duplicates
 from perennia.llm.packing import document_pieces, pack
 from perennia.llm.pii import KINDS, annotate, learn_spans, printed
 from perennia.llm.url_filter import Rule, judge_urls
@@ -50,6 +51,10 @@ def op4_chat_format(spark, sf_dir):
     return chat_digest(format_chats(rows.unionByName(forged)))
 
 
+def op5_minhash(spark, sf_dir):
+    return near_duplicates(table(configure(spark), sf_dir, "documents"), percent=85)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(configure(spark), sf_dir, "documents"), keep="max")
 
@@ -73,6 +78,7 @@ def op10_url_filter(spark, sf_dir):
 QUERIES = {
     "op3_personal_data": op3_personal_data,
     "op4_chat_format": op4_chat_format,
+    "op5_minhash": op5_minhash,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,

@@ -1,0 +1,124 @@
+import random
+import re
+
+import numpy as np
+
+from perennia.llm import minhash
+from perennia.llm.graph import components
+from perennia.llm.minhash import near_duplicates
+from perennia.llm.queries import op5_minhash
+
+
+def shingles(text):
+    words = [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    if not words:
+        return frozenset()
+    n = min(5, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+
+
+def brute(rows, percent=85):
+    sets = [(i, shingles(t)) for i, t in rows]
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    return {i: (len(s), root(i), root(i) == i) for i, s in sets}
+
+
+def got(frame):
+    return {r[0]: (r["n_shingles"], r["component_id"], r["kept"]) for r in frame.collect()}
+
+
+def near_copies(rng, groups, copies, words, changes):
+    rows = []
+    for _ in range(groups):
+        base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rng.randint(0, changes)):
+                text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows) * 3 + 1, " ".join(text)))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_equal_to_brute_force(spark):
+    rng = random.Random(8)
+    rows = near_copies(rng, 12, 12, 150, 8) + near_copies(rng, 0, 0, 1, 0)
+    rows += [(10_000 + i, t) for i, t in enumerate(["", None, " \n", "One", "one", "a b c", "A\tB c", "a b c d e", "a b c d e f", "ß b c", "É b"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(near_duplicates(docs)) == brute(rows)
+
+
+def test_chains_and_blocks(spark, monkeypatch):
+    """Copies of copies: neighbours are similar, the ends are not; blocks of few members."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng = random.Random(4)
+    text, rows = [f"w{i}" for i in range(200)], []
+    for i in range(60):
+        rows.append((i, " ".join(text)))
+        for _ in range(3):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+    rng.shuffle(rows)
+    rows += [(100 + i, t) for i, t in near_copies(rng, 2, 40, 120, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(near_duplicates(docs)) == brute(rows)
+
+
+def test_block_finds_every_link_between_groups():
+    rng = random.Random(2)
+    rows = near_copies(rng, 3, 20, 100, 5)
+    ids, texts = [r[0] for r in rows], [r[1] for r in rows]
+    links = minhash.linked_block(ids, ids, [0] * len(ids), texts, 85)
+    parent = {i: i for i in ids}
+    for a, b in links:
+        a, b = (minhash._root(parent, x) for x in (a, b))
+        parent[max(a, b)] = min(a, b)
+    assert {i: minhash._root(parent, i) for i in ids} == {i: c for i, (_, c, _) in brute(rows).items()}
+    half = len(ids) // 2
+    sides = [0] * half + [1] * (len(ids) - half)
+    assert all((ids.index(a) < half) != (ids.index(b) < half) for a, b in minhash.linked_block(ids, ids, sides, texts, 85))
+
+
+def test_min_and_max_estimate_similarity():
+    rng = np.random.default_rng(1)
+    a = np.unique(rng.integers(0, 2**63, 1000, dtype=np.uint64))
+    b = np.unique(np.concatenate([a[:900], rng.integers(0, 2**63, 100, dtype=np.uint64)]))
+    true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    assert abs((minhash.signature(a) == minhash.signature(b)).mean() - true) < 0.12
+
+
+def test_repeats_nulls_and_empty_tables(spark):
+    rows = [(5, "a b c d e f", 1), (5, "a b c d e f", 2), (7, "A b c d e f", 3), (None, "a b c d e f", 4), (9, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id long")
+    out = sorted(map(tuple, near_duplicates(docs).collect()), key=str)
+    assert out == sorted([(5, 2, 5, True), (5, 2, 5, True), (7, 2, 5, False), (None, 2, None, True), (9, 0, 9, True)], key=str)
+    assert near_duplicates(docs.where("false")).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1100)] + [(5000, i) for i in range(6000, 6200)]
+    found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    parent = {}
+    for a, b in links:
+        a, b = minhash._root(parent, a), minhash._root(parent, b)
+        parent[max(a, b)] = min(a, b)
+    want = {x: minhash._root(parent, x) for a, b in links if a != b for x in (a, b)}
+    assert found == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    assert got(op5_minhash(spark, folder)) == brute(rows)
