@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from perennia.llm.bpe import build_lexicon, digest_documents
 from perennia.llm.chat import chat_digest, format_chats
 from perennia.llm.common import sha256, table
+from perennia.llm.embedding_dedup import near_vectors
 from perennia.llm.exact_dedup import exact_dedup
 from perennia.llm.minhash import near_duplicates
 from perennia.llm.packing import document_pieces, pack
@@ -28,6 +29,10 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 FORGED = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_embedding_dedup(spark, sf_dir):
+    return near_vectors(table(configure(spark), sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_personal_data(spark, sf_dir):
     docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
     found = annotate(docs, learn_spans(docs))
@@ -76,6 +81,7 @@ def op10_url_filter(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op3_personal_data": op3_personal_data,
     "op4_chat_format": op4_chat_format,
     "op5_minhash": op5_minhash,
