@@ -77,8 +77,54 @@ SELECT page_id, d.host, path, rule,
 FROM decided d LEFT JOIN scores s ON s.host = d.host
 """
 
+OP1 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT r.node, l.y FROM reach r JOIN l ON l.x = r.seen
+), c AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT node AS vec_id, coalesce(n_links, 0) AS n_links, component_id, node = component_id AS kept
+FROM c LEFT JOIN n ON n.x = c.node
+"""
+
+OP2 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+OP5 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(list_transform(
+    range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles FROM w
+), e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+l AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, l.y FROM reach r JOIN l ON l.x = r.seen
+), c AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN c ON c.node = s.doc_id
+"""
+
 ORACLES = {
+    "op1_embedding_dedup": OP1,
+    "op2_arc_to_warc": OP2,
     "op4_chat_format": OP4,
+    "op5_minhash": OP5,
     "op6_exact_dedup": OP6,
     "op10_url_filter": OP10,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from perennia.llm.archives import convert, read_warc, write_arc
 from perennia.llm.bpe import build_lexicon, digest_documents
 from perennia.llm.chat import chat_digest, format_chats
 from perennia.llm.common import sha256, table
@@ -14,7 +15,7 @@ from perennia.llm.minhash import near_duplicates
 from perennia.llm.packing import document_pieces, pack
 from perennia.llm.pii import KINDS, annotate, learn_spans, printed
 from perennia.llm.url_filter import Rule, judge_urls
-from perennia.session import configure
+from perennia.session import configure, work_folder
 
 URL_RULES = [
     Rule("block", "net", "/"),
@@ -33,6 +34,15 @@ def op1_embedding_dedup(spark, sf_dir):
     return near_vectors(table(configure(spark), sf_dir, "embeddings"), threshold=0.9)
 
 
+def op2_arc_to_warc(spark, sf_dir):
+    folder = work_folder(configure(spark), "archives")
+    write_arc(table(spark, sf_dir, "pages"), f"{folder}/arc")
+    convert(spark, f"{folder}/arc", f"{folder}/warc")
+    return read_warc(spark, f"{folder}/warc").where("record_type in ('response', 'revisit')").select(
+        F.col("source_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op3_personal_data(spark, sf_dir):
     docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
     found = annotate(docs, learn_spans(docs))
@@ -82,6 +92,7 @@ def op10_url_filter(spark, sf_dir):
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_arc_to_warc": op2_arc_to_warc,
     "op3_personal_data": op3_personal_data,
     "op4_chat_format": op4_chat_format,
     "op5_minhash": op5_minhash,
