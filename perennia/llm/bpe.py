@@ -17,6 +17,7 @@ import mmap
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 
@@ -279,6 +280,12 @@ class BpeEncoder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def _task_encoder(vocabulary: str, lexicon: str) -> BpeEncoder:
+    """Kept for the next task of the same worker."""
+    return BpeEncoder(vocabulary, mapped(SparkFiles.get(lexicon)))
+
+
 def encode_documents(
     docs: DataFrame, vocabulary_path: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -292,7 +299,7 @@ def encode_documents(
     rows = docs.select(F.col(id_col).alias("id"), filled(F.col(text_col)).alias("text"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = BpeEncoder(vocabulary.value, mapped(SparkFiles.get(lexicon)))
+        encoder = _task_encoder(vocabulary.value, lexicon)
         for batch in batches:
             for part in slices(batch):
                 ids = encoder.encode(part.column(1).to_pylist())
@@ -311,7 +318,7 @@ def digest_documents(docs: DataFrame, vocabulary_path: str, lexicon: str) -> Dat
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = BpeEncoder(vocabulary.value, mapped(SparkFiles.get(lexicon)))
+        encoder = _task_encoder(vocabulary.value, lexicon)
         names = {i: str(i) for i in encoder.vocabulary.bytes_of}
         for batch in batches:
             for part in slices(batch):

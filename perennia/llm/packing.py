@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -86,6 +87,22 @@ def pack_group(
     return bins, offsets
 
 
+@lru_cache(maxsize=1)
+def _library_encoder(vocabulary: str) -> WordEncoder:
+    """Words to their ids as bytes by the library; kept for the next task of the same worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(vocabulary)
+
+    def encode(strings: list[str]) -> list[bytes]:
+        found = library.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    special = {t.content: np.array([i], "<u4").tobytes() for i, t in library.get_added_tokens_decoder().items()}
+    return WordEncoder(encode, special)
+
+
 def document_pieces(
     docs: DataFrame,
     vocabulary_path: str,
@@ -106,17 +123,7 @@ def document_pieces(
     columns = ["id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_str(vocabulary.value)
-
-        def encode(strings: list[str]) -> list[bytes]:
-            found = library.encode_batch_fast(strings, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-        special = {t.content: np.array([i], "<u4").tobytes() for i, t in library.get_added_tokens_decoder().items()}
-        encoder, last = WordEncoder(encode, special), np.array([end], "<u4").tobytes()
+        encoder, last = _library_encoder(vocabulary.value), np.array([end], "<u4").tobytes()
         for batch in batches:
             for part in slices(batch):
                 out = [[] for _ in columns]

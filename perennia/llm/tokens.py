@@ -36,28 +36,23 @@ class WordEncoder:
     """Encodes texts; `encode_strings` gives the value of each string, a text is the list of its parts' values.
 
     `special` has the values of tokens that stand for themselves wherever they are written out. At
-    most `limit` words are remembered: beyond that the memory starts anew.
+    most `limit` words are remembered, those that came first; others are encoded for each call.
     """
 
-    def __init__(self, encode_strings: Callable[[list[str]], list], special: dict[str, object], limit: int = 200_000):
+    def __init__(self, encode_strings: Callable[[list[str]], list], special: dict[str, object], limit: int = 500_000):
         self.encode_strings, self.limit = encode_strings, limit
         self.special = dict(sorted(special.items(), key=lambda x: -len(x[0])))
         self.words: dict[str, object] = {}
         self.pieces: dict[str, object] = {}
 
-    def _learn_words(self, words: Iterable[str]) -> None:
-        new = [w for w in set(words) if w not in self.words]
-        if len(self.words) + len(new) > self.limit:
-            self.words, new = {}, list(set(words))
-        good = [w for w in new if apart(w)]
-        self.words.update(zip(good, self.encode_strings([spelt(w) for w in good])))
-        self.words.update((w, None) for w in new if not apart(w))
-
-    def _learn_pieces(self, pieces: Iterable[str]) -> None:
-        new = [p for p in set(pieces) if p not in self.pieces]
-        if len(self.pieces) + len(new) > self.limit:
-            self.pieces, new = {}, list(set(pieces))
-        self.pieces.update(zip(new, self.encode_strings(new)))
+    def _learn(self, known: dict[str, object], wanted: Iterable[str]) -> list[str]:
+        """Add what is missing; returns what there is no room to remember."""
+        new = [s for s in set(wanted) if s not in known]
+        good = [s for s in new if known is self.pieces or apart(s)]
+        full = len(known) + len(new) > self.limit
+        known.update(dict.fromkeys(new))
+        known.update(zip(good, self.encode_strings([s if known is self.pieces else spelt(s) for s in good])))
+        return new if full else []
 
     def encode(self, texts: list[str]) -> list[list]:
         """For each text the values of its parts, in order."""
@@ -89,7 +84,7 @@ class WordEncoder:
 
     def _encode_plain(self, texts: list[str]) -> list[list]:
         split = [words_of(t) for t in texts]
-        self._learn_words(w for words in split for w in words[1:])
+        passing = self._learn(self.words, (w for words in split for w in words[1:]))
         memory, rest, out = self.words, [], []
         for text, words in zip(texts, split):
             first = words[0]
@@ -100,9 +95,12 @@ class WordEncoder:
             else:
                 rest.append((len(out), PATTERN.findall(first)))
                 out.append(values)
-        self._learn_pieces(p for _, pieces in rest for p in pieces)
+        passing_pieces = self._learn(self.pieces, (p for _, pieces in rest for p in pieces))
         for i, pieces in rest:
             out[i][:0] = map(self.pieces.__getitem__, pieces)
+        for known, gone in ((self.words, passing), (self.pieces, passing_pieces)):
+            for s in gone:
+                del known[s]
         return out
 
 

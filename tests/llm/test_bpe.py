@@ -60,6 +60,14 @@ def test_ids_equal_library(library, vocabulary):
     assert encoder.decode(some) == library.decode(some, skip_special_tokens=False)
 
 
+def test_memory_that_starts_anew(library, vocabulary):
+    encoder = bpe.BpeEncoder(vocabulary, bpe.compile_words([]))
+    encoder.encoder.limit = 5
+    for k in range(20):
+        texts = [f"the word{k} of {i}\n\nan  other{i}" for i in range(k, k + 7)]
+        assert encoder.encode(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_every_character_is_cut_like_the_library(library, vocabulary):
     encoder = bpe.BpeEncoder(vocabulary, bpe.compile_words([]))
     texts = [f"a{chr(c)}b {chr(c)}\n{chr(c)}{chr(c)}1" for c in [*range(0x3000), *range(0xFE00, 0x10000), *range(0x1F300, 0x1F700)]]
