@@ -14,6 +14,7 @@ from perennia.llm.exact_dedup import exact_dedup
 from perennia.llm.minhash import near_duplicates
 from perennia.llm.packing import document_pieces, pack
 from perennia.llm.pii import KINDS, annotate, learn_spans, printed
+from perennia.llm.toxicity import learn_toxicity, score_toxicity
 from perennia.llm.url_filter import Rule, judge_urls
 from perennia.session import configure, work_folder
 
@@ -74,6 +75,12 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(configure(spark), sf_dir, "documents"), keep="max")
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
+    model = learn_toxicity(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_packing(spark, sf_dir):
     return pack(document_pieces(table(configure(spark), sf_dir, "documents"), VOCABULARY))
 
@@ -97,6 +104,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_minhash": op5_minhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
