@@ -23,7 +23,7 @@ from perennia.operators.dispositions import event_dispositions, rejects
 from perennia.operators.fold import Entities, entities, entities_of, entities_of_state, fold
 from perennia.operators.rank import dense_rank_x, top_x
 from perennia.plans import reports
-from perennia.plans.ingest import ingest, stored_entities
+from perennia.plans.ingest import ingest, ingest_more, read_stored, stored_entities
 from perennia.plans.ltv import customer_metrics, ltv, ltv_timeframe, result_columns, score
 from perennia.plans.ltv_sql import ltv_sql
 from perennia.plans.ltv_touch import touch_ltv, touch_profiles
@@ -31,7 +31,7 @@ from perennia.schema import ALL_TYPES, CUSTOMER, FACT_FIELDS, LTV_FIELDS, ORDER,
 from perennia.session import configure, work_folder
 from perennia.sinks import result_document
 from perennia.sources.event_log import read_event_log, union_logs, write_event_log
-from perennia.sources.json_events import from_json_lines, to_json_lines
+from perennia.sources.json_events import from_json_lines, read_event_lines, read_events, stream_events, to_json_lines
 from perennia.sources.tables import entities_from_tables, event_log_from_tables, relations_from_orders
 from perennia.streaming import jobs
 
@@ -134,7 +134,7 @@ def touch_customer_profiles(spark, sf_dir):
 
 
 def ltv_timeframe_all(spark, sf_dir):
-    return result_columns(ltv_timeframe(_entities(spark, sf_dir), _log(spark, sf_dir, *ALL_TYPES)))
+    return result_columns(ltv_timeframe(_entities(spark, sf_dir)))
 
 
 def _cross_year(policy):
@@ -230,6 +230,12 @@ def orphan_facts(spark, sf_dir):
     return reports.orphan_facts(_entities(spark, sf_dir))
 
 
+def orphan_facts_of_segment(spark, sf_dir):
+    """Facts of the log whose customer is not in the BUILDING segment of the customer table."""
+    people = _table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("customer_id"))
+    return reports.orphan_facts(_entities(spark, sf_dir)._replace(customer=people))
+
+
 def customers_without_visits(spark, sf_dir):
     """Customers of the customer table that the log never saw visit."""
     people = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
@@ -251,7 +257,8 @@ def ltv_rollup_region(spark, sf_dir):
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_name").alias("nation"), F.col("r_name").alias("region")
     )
-    return reports.ltv_by_place(scored.join(places, "nation"), "region", "nation")
+    # A customer without a nation counts in the totals, under no place.
+    return reports.ltv_by_place(scored.join(places, "nation", "left"), "region", "nation")
 
 
 def tags_normalised(spark, sf_dir):
@@ -278,15 +285,8 @@ def parsed_amounts(spark, sf_dir):
 
 
 def json_round_trip(spark, sf_dir):
-    """The log written as JSON lines and parsed back, then folded."""
-    log = _log(spark, sf_dir)
-    timed = log.withColumn(
-        "event_time",
-        F.when(F.col("event_date").isNull(), F.lit("2024-01-2000T00:00:00.000Z")).otherwise(
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-        ),
-    )
-    parsed = from_json_lines(to_json_lines(timed, "seq"))
+    """The log turned into JSON texts and parsed back, then folded."""
+    parsed = from_json_lines(to_json_lines(_timed(spark, sf_dir), "seq"))
     return result_columns(ltv(entities(parsed, columns=LTV_FIELDS)))
 
 
@@ -319,10 +319,76 @@ def ingested_ltv(spark, sf_dir):
 
 
 def ingested_rejects(spark, sf_dir):
-    stored = spark.read.parquet(f"{_ingested(spark, sf_dir)}/rejects")
+    stored = read_stored(spark, _ingested(spark, sf_dir), "rejects")
     return stored.select("reason", "type", "key", "seq")
 
 
+def ingested_twice_ltv(spark, sf_dir):
+    """One half of the log stored, then the other added."""
+    folder = work_folder(spark, "ingest")
+    log = _log(spark, sf_dir)
+    ingest(log.where("seq % 2 = 0"), folder)
+    ingest_more(log.where("seq % 2 = 1"), folder)
+    return result_columns(ltv(stored_entities(spark, folder)))
+
+
+def ingested_customers_only(spark, sf_dir):
+    """A store that has no facts."""
+    folder = work_folder(spark, "ingest")
+    ingest(_log(spark, sf_dir, CUSTOMER), folder)
+    return result_columns(ltv(stored_entities(spark, folder)))
+
+
+def _timed(spark, sf_dir):
+    """The log with its time as text, as JSON holds it: in the order of the events, some unreadable."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    unreadable = F.when(F.col("event_date").isNull(), F.lit(" or so")).otherwise(F.lit(""))
+    return _log(spark, sf_dir).withColumn("event_time", F.concat(text, unreadable))
+
+
+def _json_files(spark, sf_dir, array):
+    """The whole log below the shared folder: lines, or an array of elements on own lines per (key, part)."""
+    folder = work_folder(spark, "json")
+    lines = to_json_lines(_timed(spark, sf_dir), "seq")
+    if array:
+        # Each file is one array; events of one file are spread over several lines of it.
+        part = lines.groupBy(F.expr("seq div 5000").alias("part")).agg(F.array_sort(F.collect_list(F.struct("seq", "value"))).alias("rows"))
+        lines = part.select(F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["value"]), ",\n"), F.lit("\n]")).alias("value"))
+        lines.write.option("maxRecordsPerFile", 1).text(folder)
+    else:
+        lines.select("value").write.text(folder)
+    return folder
+
+
+def json_array_ltv(spark, sf_dir):
+    """Written as files that hold arrays over several lines, read whole, folded."""
+    return result_columns(ltv(entities(read_events(spark, _json_files(spark, sf_dir, True)), columns=LTV_FIELDS)))
+
+
+def json_array_lines_ltv(spark, sf_dir):
+    """The same files read line by line, which splits them."""
+    return result_columns(ltv(entities(read_event_lines(spark, _json_files(spark, sf_dir, True)), columns=LTV_FIELDS)))
+
+
+def json_lines_ltv(spark, sf_dir):
+    return result_columns(ltv(entities(read_event_lines(spark, _json_files(spark, sf_dir, False)), columns=LTV_FIELDS)))
+
+
+def stream_json_ltv(spark, sf_dir):
+    """Array files as they arrive, kept as mergeable state."""
+    base = work_folder(spark, "streamed")
+    stream = stream_events(spark, _json_files(spark, sf_dir, True))
+    jobs.stream_partials(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return result_columns(ltv(entities_of_state(jobs.read_state(spark, f"{base}/out"))))
+
+
+def json_array_rejects(spark, sf_dir):
+    """Rejects by reason of array files, one of them with something behind its array."""
+    folder = _json_files(spark, sf_dir, True)
+    _log(spark, sf_dir).agg(F.concat(F.lit("[] "), F.max("seq").cast("string"))).write.mode("append").text(folder)
+    return reports.rejects_by_reason(read_events(spark, folder))
+
+
 def event_log_by_type_verb(spark, sf_dir):
     """Written as the partitioned log and read back."""
     folder = work_folder(spark, "log")
@@ -404,6 +470,7 @@ _QUERIES: dict[str, Query] = {
     "visits_per_week": visits_per_week,
     "revenue_per_visit": revenue_per_visit,
     "orphan_facts": orphan_facts,
+    "orphan_facts_of_segment": orphan_facts_of_segment,
     "customers_without_visits": customers_without_visits,
     "top_per_segment": top_per_segment,
     "ltv_rollup_region": ltv_rollup_region,
@@ -415,6 +482,13 @@ _QUERIES: dict[str, Query] = {
     "result_document_top10": result_document_top10,
     "ingested_ltv": ingested_ltv,
     "ingested_rejects": ingested_rejects,
+    "ingested_twice_ltv": ingested_twice_ltv,
+    "ingested_customers_only": ingested_customers_only,
+    "json_array_ltv": json_array_ltv,
+    "json_array_lines_ltv": json_array_lines_ltv,
+    "json_lines_ltv": json_lines_ltv,
+    "json_array_rejects": json_array_rejects,
+    "stream_json_ltv": stream_json_ltv,
     "event_log_by_type_verb": event_log_by_type_verb,
     "stream_state_equals_batch": stream_state_equals_batch,
     "stream_partials_ltv": stream_partials_ltv,

@@ -195,6 +195,10 @@ judged AS (
 _BY_TYPE_VERB = f"WITH {_LOG} SELECT type, verb, count(*) AS events FROM log GROUP BY type, verb"
 _TOP10 = f"{_FOLDED} SELECT {_RESULT} FROM scored ORDER BY ltv DESC, first_seq LIMIT 10"
 
+_AS_TEXT = f"""{_FOLDED}
+        SELECT CAST(customer_id AS VARCHAR) AS customer_id, last_name, adr_city, adr_state,
+               revenue_per_visit, visits_per_week, ltv FROM scored"""
+
 ORACLES: dict[str, str] = {
     "ltv_fold_all": f"{_FOLDED} SELECT {_RESULT} FROM scored",
     "ltv_fold_top10": _TOP10,
@@ -217,7 +221,7 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY seq DESC) = 1""",
     "ltv_timeframe": f"""WITH {_fold()}, {_metrics('state', _WEEK_U)}, {_PEOPLE},
         frame AS (SELECT date_diff('day', min({_WEEK_START}), max({_WEEK_START})) // 7 + 1 AS frame_weeks
-                  FROM log WHERE type <> 'OTHER'),
+                  FROM state WHERE type <> 'CUSTOMER'),
         framed AS (SELECT * FROM joined, frame), {_scores('framed', 'frame_weeks')}
         SELECT {_RESULT} FROM scored""",
     "ltv_cross_year_u": f"WITH {_cross_year(_WEEK_U)} SELECT {_RESULT} FROM scored",
@@ -270,6 +274,13 @@ ORACLES: dict[str, str] = {
         WHERE type IN ('SITE_VISIT', 'ORDER')
           AND customer_id NOT IN (SELECT key FROM state WHERE type = 'CUSTOMER')
         GROUP BY customer_id""",
+    "orphan_facts_of_segment": f"""WITH {_fold()}
+        SELECT customer_id, count(*) FILTER (WHERE type = 'SITE_VISIT') AS visits,
+               count(*) FILTER (WHERE type = 'ORDER') AS orders
+        FROM state
+        WHERE type IN ('SITE_VISIT', 'ORDER')
+          AND customer_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+        GROUP BY customer_id""",
     "customers_without_visits": f"""WITH {_fold()}
         SELECT c.c_custkey AS customer_id, CAST(coalesce(sum(s.amount), 0) AS DOUBLE) AS revenue
         FROM customer AS c LEFT JOIN state AS s ON s.customer_id = c.c_custkey AND s.type = 'ORDER'
@@ -281,8 +292,10 @@ ORACLES: dict[str, str] = {
         FROM scored QUALIFY position <= 5""",
     "ltv_rollup_region": f"""WITH {_cross_year(_WEEK_U)}
         SELECT r.r_name AS region, n.n_name AS nation, count(*) AS customers,
-               CAST(sum(CAST(ltv AS DECIMAL(24,2))) AS DOUBLE) AS total_ltv, max(ltv) AS top_ltv
-        FROM scored AS s JOIN nation AS n ON n.n_name = s.adr_city JOIN region AS r ON r.r_regionkey = n.n_regionkey
+               CAST(sum(CAST(ltv AS DECIMAL(24,2))) AS DOUBLE) AS total_ltv, max(ltv) AS top_ltv,
+               CAST(grouping(r.r_name, n.n_name) AS BIGINT) AS level
+        FROM scored AS s LEFT JOIN nation AS n ON n.n_name = s.adr_city
+        LEFT JOIN region AS r ON r.r_regionkey = n.n_regionkey
         GROUP BY ROLLUP (r.r_name, n.n_name)""",
     "tags_normalised": f"""WITH {_LOG} SELECT seq, 'k' AS name, CAST(k AS VARCHAR) AS value
         FROM log WHERE type = 'SITE_VISIT'""",
@@ -294,9 +307,7 @@ ORACLES: dict[str, str] = {
         SELECT verb, count(amount) AS readable, count(*) - count(amount) AS junk,
                CAST(sum(amount) AS DOUBLE) AS total
         FROM log WHERE type = 'ORDER' GROUP BY verb""",
-    "json_round_trip": f"""{_FOLDED}
-        SELECT CAST(customer_id AS VARCHAR) AS customer_id, last_name, adr_city, adr_state,
-               revenue_per_visit, visits_per_week, ltv FROM scored""",
+    "json_round_trip": _AS_TEXT,
     "union_of_logs": f"""WITH {_fold()}
         SELECT customer_id, CAST(sum(amount) AS DOUBLE) AS revenue
         FROM (SELECT customer_id, amount FROM state WHERE type = 'ORDER'
@@ -311,16 +322,26 @@ ORACLES: dict[str, str] = {
     "ingested_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
     "ingested_rejects": f"""WITH {_dispositions()}
         SELECT disposition AS reason, type, key, seq FROM judged WHERE disposition <> 'APPLIED'""",
+    "ingested_twice_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
+    "ingested_customers_only": f"""WITH {_fold()}
+        SELECT key AS customer_id, last_name, adr_city, adr_state,
+               0.0 AS revenue_per_visit, 0.0 AS visits_per_week, 0.0 AS ltv
+        FROM state WHERE type = 'CUSTOMER'""",
+    "json_array_ltv": _AS_TEXT,
+    "json_array_lines_ltv": _AS_TEXT,
+    "json_lines_ltv": _AS_TEXT,
+    "stream_json_ltv": _AS_TEXT,
+    "json_array_rejects": f"""WITH {_dispositions()}
+        SELECT disposition AS reason, count(*) AS events FROM judged
+        WHERE disposition <> 'APPLIED' GROUP BY disposition UNION ALL SELECT 'CORRUPT', 1""",
     "event_log_by_type_verb": _BY_TYPE_VERB,
     "stream_state_equals_batch": f"""WITH {_fold()}
         SELECT type, key, customer_id, CAST(amount AS DOUBLE) AS amount, first_seq, last_seq FROM state""",
     "stream_partials_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
     "stream_ltv_top10": _TOP10,
-    "stream_weekly_visits": f"""WITH {_LOG}
-        SELECT strftime(week_start, '%Y-%m-%d') AS week_start, count(*) AS visits
-        FROM (SELECT CAST(ts AS DATE) - CAST(dayofweek(ts) AS INT) AS week_start
-              FROM log WHERE type = 'SITE_VISIT') AS w
-        GROUP BY ALL""",
+    "stream_weekly_visits": f"""WITH {_fold()}
+        SELECT strftime({_WEEK_START}, '%Y-%m-%d') AS week_start, count(*) AS visits
+        FROM state WHERE type = 'SITE_VISIT' GROUP BY ALL""",
     "stream_first_seen": f"""WITH {_LOG}
         SELECT DISTINCT type, key FROM log WHERE type IN ('SITE_VISIT', 'IMAGE')""",
     "stream_ingested_log": _BY_TYPE_VERB,

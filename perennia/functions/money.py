@@ -25,6 +25,10 @@ def parse_amount(text: Column) -> Column:
     return F.replace(text, F.lit(CURRENCY_SUFFIX), F.lit("")).try_cast(AMOUNT)
 
 
+#: Whether `total_amount` is a finite number, be it too large for an amount.
+NUMBER_TEST = f"abs(try_cast(replace(total_amount, '{CURRENCY_SUFFIX}', '') AS DOUBLE)) < double('infinity')"
+
+
 def _half_up(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator rounded half-up to a whole number, for a denominator above 0."""
     n, d = F.abs(numerator).cast(_WIDE), denominator.cast(_WIDE)
@@ -35,8 +39,8 @@ def _half_up(numerator: Column, denominator: Column) -> Column:
 
 def per_unit(amount: Column, count: Column) -> Column:
     """amount / count in cents precision; 0 where count is 0 or missing."""
-    units = (amount * F.lit(10_000)).cast(_WIDE)
-    cents = _half_up(units, (count * F.lit(100)).cast(_WIDE))
+    units = (amount * F.lit(1_000_000)).cast(_WIDE)
+    cents = _half_up(units, (count * F.lit(10_000)).cast(_WIDE))
     return F.when(count > 0, (cents * F.lit(Decimal("0.01"))).cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
 
 

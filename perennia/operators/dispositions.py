@@ -18,6 +18,10 @@ from perennia.schema import (
 )
 
 
+# Columns that were not in the event itself.
+_DERIVED = (CORRUPT_COLUMN, "seq", "event_date", "ts", "amount", "source_type")
+
+
 def event_dispositions(log: DataFrame, bad_time: str = "null_week", hot_rows: int = HOT_ROWS) -> DataFrame:
     """The log with a column `disposition`; one row per event."""
     marked = log.withColumn("_fault", fault(log.columns, bad_time))
@@ -39,7 +43,9 @@ def event_dispositions(log: DataFrame, bad_time: str = "null_week", hot_rows: in
 
 def rejects(log: DataFrame, bad_time: str = "null_week", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Events not applied: (reason, type, verb, key, seq, raw), raw being the event as JSON text."""
-    event = F.to_json(F.struct(*[c for c in log.columns if c not in (CORRUPT_COLUMN, "seq", "event_date", "amount")]))
+    event = F.to_json(F.struct(*[c for c in log.columns if c not in _DERIVED]))
     raw = F.coalesce(F.col(CORRUPT_COLUMN), event) if CORRUPT_COLUMN in log.columns else event
     judged = event_dispositions(log, bad_time, hot_rows).where(F.col("disposition") != APPLIED)
-    return judged.select(F.col("disposition").alias("reason"), "type", "verb", "key", "seq", raw.alias("raw"))
+    # A log stores unknown types under one name, and the original beside it.
+    kind = F.coalesce("source_type", "type").alias("type") if "source_type" in log.columns else F.col("type")
+    return judged.select(F.col("disposition").alias("reason"), kind, "verb", "key", "seq", raw.alias("raw"))

@@ -44,6 +44,9 @@ def dense_rank_x(
 
 
 def top_per_group(rows: DataFrame, group: str, k: int, by: str = "ltv", tie: str = "customer_id") -> DataFrame:
-    """The k highest rows of each group with their position; each task first cuts to k per group."""
+    """The k highest rows of each group with their position.
+
+    Each task first cuts to k per group (for k up to `windowGroupLimitThreshold`, see `session`).
+    """
     window = Window.partitionBy(group).orderBy(F.desc(by), F.asc(tie))
     return rows.withColumn("position", F.row_number().over(window)).where(F.col("position") <= k)

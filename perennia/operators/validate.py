@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perennia.functions.money import NUMBER_TEST
 from perennia.schema import (
     ALL_TYPES,
+    AMOUNT_OUT_OF_RANGE,
     CORRUPT,
     CORRUPT_COLUMN,
     CUSTOMER,
@@ -53,6 +55,7 @@ def fault(columns: list[str], bad_time: str = "null_week") -> Column:
     ]
     if "total_amount" in columns:
         checks.append((f"{order} AND total_amount IS NULL", MISSING + "total_amount"))
+        checks.append((f"{order} AND amount IS NULL AND {NUMBER_TEST}", AMOUNT_OUT_OF_RANGE))
     # The amount is read before the verb: a junk NEW creates no order.
     checks += [
         (f"{order} AND amount IS NULL", INVALID_AMOUNT),

@@ -93,15 +93,14 @@ def frame_weeks(dated: DataFrame, date: str = "event_date") -> DataFrame:
 
 def ltv_timeframe(
     entities: Entities,
-    dated: DataFrame,
     weeks_per_year: int = WEEKS_PER_YEAR,
     lifespan_years: int | float = LIFESPAN_YEARS,
 ) -> DataFrame:
     """Lifetime value over the time frame of the whole data: idle weeks lower the visits per week.
 
-    `dated` holds the events that span the frame (column `event_date`). The frame is one number and
-    enters as a scalar subquery.
+    The frame reaches from the first to the last current fact; what was never applied does not
+    stretch it. It is one number and enters as a scalar subquery.
     """
-    frame = frame_weeks(dated).scalar()
+    frame = frame_weeks(entities.facts).scalar()
     metrics = with_metrics(entities).withColumn("weeks", frame)
     return score(metrics, weeks_per_year=weeks_per_year, lifespan_years=lifespan_years)

@@ -87,8 +87,12 @@ def customers_without_visits(entities: Entities) -> DataFrame:
 
 
 def ltv_by_place(scored: DataFrame, outer: str, inner: str) -> DataFrame:
-    """Customers and total value per (outer, inner), per outer, and overall."""
+    """Customers and total value per (outer, inner), per outer, and overall.
+
+    `level` tells a total (1: of an outer place, 3: of all) from customers whose place is not known (0).
+    """
     return scored.rollup(outer, inner).agg(
+        F.grouping_id().cast("bigint").alias("level"),
         F.count(F.lit(1)).alias("customers"), F.sum("ltv").alias("total_ltv"), F.max("ltv").alias("top_ltv")
     )
 

@@ -25,14 +25,16 @@ DUPLICATE_NEW = "DUPLICATE_NEW"
 DUPLICATE_KEY = "DUPLICATE_KEY"
 UPDATE_WITHOUT_KEY = "UPDATE_WITHOUT_KEY"
 INVALID_AMOUNT = "INVALID_AMOUNT"
+AMOUNT_OUT_OF_RANGE = "AMOUNT_OUT_OF_RANGE"
 INVALID_EVENT_TIME = "INVALID_EVENT_TIME"
 IGNORED_TYPE = "IGNORED_TYPE"
 IGNORED_VERB = "IGNORED_VERB"
 CORRUPT = "CORRUPT"
 MISSING = "MISSING_"
 
-# An amount keeps four decimals, so that amounts finer than a cent still add up before rounding.
-AMOUNT = "decimal(18,4)"
+# An amount keeps six decimals, so that amounts finer than a cent still add up before rounding, and 22
+# digits before the point; a number beyond that has a reason of its own.
+AMOUNT = "decimal(28,6)"
 # Published, rounded money and ratios.
 MONEY = "decimal(24,2)"
 

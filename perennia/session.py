@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Up to so many rows per group, tasks cut to the first k before the shuffle of a ranking window.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # Streaming state lives on disk instead of the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

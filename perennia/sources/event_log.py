@@ -15,7 +15,8 @@ def log_rows(events: DataFrame) -> DataFrame:
     """Events as the log stores them: unknown types share the name OTHER, so that their number does
     not matter to the folders; the original stays in `source_type`."""
     kind = F.when(F.col("type").isNull() | F.col("type").isin(*ALL_TYPES), F.col("type")).otherwise("OTHER")
-    return events.withColumn("source_type", F.col("type")).withColumn("type", kind)
+    source = F.coalesce("source_type", "type") if "source_type" in events.columns else F.col("type")
+    return events.withColumn("source_type", source).withColumn("type", kind)
 
 
 def write_event_log(events: DataFrame, path: str, mode: str = "errorifexists") -> None:

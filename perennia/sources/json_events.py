@@ -12,57 +12,78 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perennia.functions.money import parse_amount
-from perennia.functions.times import event_date
+from perennia.functions.times import event_date, event_timestamp
 from perennia.schema import CORRUPT_COLUMN, RAW, RAW_FIELDS
 
 
-def _seq(file: Column, block: Column, pos: Column) -> Column:
+def _seq(file: Column, block: Column, pos: Column, item: Column) -> Column:
     return F.struct(
         F.col("event_time").alias("event_time"),
         file.alias("file"),
         block.cast("bigint").alias("block"),
         pos.cast("bigint").alias("pos"),
+        item.cast("bigint").alias("item"),
     )
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """Add the parsed `event_date` and `amount`; the raw texts stay."""
+    """Add the parsed `event_date`, `ts` and `amount`; the raw texts stay."""
     return raw.withColumns(
-        {"event_date": event_date(F.col("event_time")), "amount": parse_amount(F.col("total_amount"))}
+        {
+            "event_date": event_date(F.col("event_time")),
+            "ts": event_timestamp(F.col("event_time")),
+            "amount": parse_amount(F.col("total_amount")),
+        }
     )
 
 
+def _parsed(json: Column, kind: T.DataType) -> Column:
+    """Struct (events, corrupt record) of `json` as the value of one field: whatever follows the
+    value, or is missing from it, makes the whole corrupt."""
+    schema = T.StructType([T.StructField("events", kind), T.StructField(CORRUPT_COLUMN, T.StringType())])
+    text = F.concat(F.lit('{"events":['), json, F.lit("]}"))
+    return F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
+
+
 def explode_arrays(files: DataFrame) -> DataFrame:
     """Typed events of whole JSON array files given as (value, file).
 
-    A file that is no JSON gives one row that carries its text as corrupt record.
+    A file that is not exactly one JSON array, however laid out over lines, gives one row that
+    carries its text as corrupt record, and none of its events; a file of no bytes gives none at all.
     """
-    events = F.from_json(F.col("value"), T.ArrayType(RAW))
-    parsed = files.select("file", "value", events.alias("events")).select(
+    parsed = files.select("file", "value", _parsed(F.col("value"), T.ArrayType(T.ArrayType(RAW))).alias("parsed"))
+    good = F.col(f"parsed.{CORRUPT_COLUMN}").isNull() & (F.size("parsed.events") == 1) & F.get("parsed.events", F.lit(0)).isNotNull()
+    events = parsed.select(
         "file",
-        F.when(F.col("events").isNull(), F.col("value")).alias(CORRUPT_COLUMN),
-        F.col("events"),
+        F.when(good, F.lit(None)).otherwise(F.col("value")).alias(CORRUPT_COLUMN),
+        F.when(good, F.get("parsed.events", F.lit(0))).alias("events"),
     )
-    rows = parsed.where(F.col("events").isNull() | (F.size("events") > 0)).select(
+    rows = events.where(F.col("events").isNull() | (F.size("events") > 0)).select(
         "file", CORRUPT_COLUMN, F.posexplode_outer("events").alias("pos", "event")
     )
     flat = rows.select("file", "pos", CORRUPT_COLUMN, *[F.col(f"event.{name}") for name in RAW_FIELDS])
-    ordered = flat.withColumn("seq", _seq(F.col("file"), F.lit(0), F.coalesce("pos", F.lit(0))))
+    zero = F.lit(0)
+    ordered = flat.withColumn("seq", _seq(F.col("file"), zero, F.coalesce("pos", zero), zero))
     return typed(ordered.drop("file", "pos"))
 
 
 def read_events(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
-    """Every file of a folder (not of its subfolders), each one JSON array.
+    """Every file of a folder (not of its subfolders), each one JSON array, however laid out.
 
-    An array file cannot be split, so one task reads one file; convert large logs once with
-    `write_event_log`. A missing folder raises, an empty one gives an empty typed DataFrame.
+    Such a file cannot be split: one task holds its text and its events, and Spark refuses files of 2 GB and
+    more. Where each element stands on lines of its own, `read_event_lines` reads any size in parallel. A
+    missing folder raises, an empty one gives an empty typed DataFrame.
     """
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    files = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     return explode_arrays(files.select("value", F.col("_metadata.file_path").alias("file")))
 
 
 def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
-    """JSON lines, one event per line; splittable at any size. Bad lines become corrupt records.
+    """One or more whole events per line; splittable at any size.
+
+    That is JSON lines, and JSON arrays whose elements do not run over line ends: the brackets that begin and
+    end a line and the comma after it are passed over. A line that is anything else, or has more
+    behind its events, becomes one corrupt record.
 
     The position of a line is that within its split of the file, and a cluster that grows may split the
     file otherwise for a second scan. So store the events with `write_event_log` (as `ingest` does) before
@@ -76,19 +97,25 @@ def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*"
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    schema = T.StructType([*RAW.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
-    event = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
-    parsed = lines.where(F.trim("value") != "").select("file", "block", "line", event.alias("event"))
-    flat = parsed.select("file", "block", "line", "event.*")
-    ordered = flat.withColumn("seq", _seq(F.col("file"), F.col("block"), F.col("line")))
-    return typed(ordered.drop("file", "block", "line"))
+    body = F.regexp_replace(F.regexp_replace("value", r"^\s*\[?\s*", ""), r"\s*,?\s*\]?\s*,?\s*$", "")
+    wanted = lines.withColumn("body", body).where("body <> ''")
+    parsed = wanted.select("file", "block", "line", "value", _parsed(F.col("body"), T.ArrayType(RAW)).alias("parsed"))
+    bad = F.col(f"parsed.{CORRUPT_COLUMN}").isNotNull() | F.col("parsed.events").isNull()
+    rows = parsed.select(
+        "file",
+        "block",
+        "line",
+        F.when(bad, F.col("value")).alias(CORRUPT_COLUMN),
+        F.posexplode_outer(F.when(~bad, F.col("parsed.events"))).alias("item", "event"),
+    )
+    flat = rows.select("file", "block", "line", "item", CORRUPT_COLUMN, "event.*")
+    place = _seq(F.col("file"), F.col("block"), F.col("line"), F.coalesce("item", F.lit(0)))
+    return typed(flat.withColumn("seq", place).drop("file", "block", "line", "item"))
 
 
 def stream_events(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """JSON array files as they arrive, with the same columns as `read_events`."""
-    files = (
-        spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_trigger).text(path)
-    )
+    files = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path, wholetext=True)
     return explode_arrays(files.select("value", F.col("_metadata.file_path").alias("file")))
 
 

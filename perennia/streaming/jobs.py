@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from perennia.functions.weeks import week_start
 from perennia.operators.fold import entities_of_state, merge_partials, partial_state, resolve
 from perennia.operators.rank import top_x
 from perennia.operators.validate import valid_events
@@ -125,47 +126,34 @@ def read_top(spark: SparkSession, folder: str) -> DataFrame:
     return lists.where(F.col("batch") == lists.agg(F.max("batch")).scalar()).drop("batch")
 
 
-def weekly_visits(log: DataFrame, lateness: str = "14 days") -> DataFrame:
-    """Visits per Sunday-to-Saturday week as a streaming (or batch) window count over column `ts`."""
-    visits = log.where(F.col("type") == SITE_VISIT).withColumn("ts", F.col("ts").cast("timestamp"))
-    # Windows count from a Thursday (1970-01-01); three days later is a Sunday.
-    week = F.window("ts", "7 days", "7 days", "3 days")
-    counts = visits.withWatermark("ts", lateness).groupBy(week).agg(F.count(F.lit(1)).alias("visits"))
-    return counts.select(F.col("window.start").cast("date").alias("week_start"), "visits")
-
-
 def stream_weekly_visits(
-    log: DataFrame,
-    folder: str,
-    checkpoint: str,
-    mode: str = "complete",
-    lateness: str = "14 days",
-    trigger: dict | None = None,
+    log: DataFrame, folder: str, checkpoint: str, bad_time: str = "null_week", trigger: dict | None = None
 ) -> StreamingQuery:
-    """Weekly visit counts. `complete` keeps every week (a few bytes each) and drops no late visit;
-    `append` emits a week once the watermark has passed it and drops what comes later."""
-    counts = weekly_visits(log, lateness).writeStream.option("checkpointLocation", checkpoint)
-    if mode == "append":
-        sink = counts.outputMode("append").format("parquet").option("path", folder)
-    else:
-        sink = counts.outputMode(mode).foreachBatch(lambda rows, batch: _write_batch(rows, folder, batch))
-    return sink.trigger(**(trigger or AVAILABLE_NOW)).start()
+    """The visits of a log as mergeable state, from which `read_weekly_visits` counts.
+
+    Accepted visits only, each page once, whenever it arrives: no watermark drops a late one.
+    """
+    return stream_partials(log.where(F.col("type") == SITE_VISIT), folder, checkpoint, bad_time, trigger)
 
 
 def read_weekly_visits(spark: SparkSession, folder: str) -> DataFrame:
-    """Current counts of a complete-mode folder; a count only ever grows."""
-    return spark.read.parquet(folder).groupBy("week_start").agg(F.max("visits").alias("visits"))
+    """Accepted visits per Sunday-to-Saturday week; unreadable times are the week NULL."""
+    visits = read_state(spark, folder)
+    return visits.groupBy(week_start(F.col("event_date")).alias("week_start")).agg(F.count(F.lit(1)).alias("visits"))
 
 
 def stream_first_seen(
-    log: DataFrame, folder: str, checkpoint: str, lateness: str = "14 days", trigger: dict | None = None
+    log: DataFrame, folder: str, checkpoint: str, bad_time: str = "null_week", trigger: dict | None = None
 ) -> StreamingQuery:
-    """Visits and images without repeated keys, bounded state: of repeats within `lateness` the first
-    to arrive stays. For the first by event time whatever the delay, use `stream_state`."""
-    rows = log.where(F.col("type").isin(*FIRST_WINS)).withColumn("ts", F.col("ts").cast("timestamp"))
-    unique = rows.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(list(_KEYS))
+    """Valid visits and images without repeated keys: the first to arrive stays, repeats are dropped however late.
+
+    The state keeps every key for ever (in RocksDB, on disk), since a watermark would drop late rows
+    whose key never came before. For the first by event time use `stream_state`.
+    """
+    valid = valid_events(log.where(F.col("type").isin(*FIRST_WINS)), bad_time)
     return (
-        unique.writeStream.format("parquet")
+        valid.dropDuplicates(list(_KEYS))
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("path", folder)
         .option("checkpointLocation", checkpoint)

@@ -1,7 +1,10 @@
 import json
+import os
+from decimal import Decimal
 
+import pytest
 from fixtures import D1_EVENTS, D1_RESULT, SAMPLE_EVENTS, customer, order, visit
-from helpers import log_of, write_array
+from helpers import LAYOUTS, log_of, write_array
 from pyspark.sql import functions as F
 
 from perennia import (
@@ -17,6 +20,10 @@ from perennia import (
     union_logs,
     write_event_log,
 )
+from perennia.functions.times import event_date
+from perennia.operators.dispositions import rejects
+from perennia.operators.rank import top_per_group
+from perennia.plans.ingest import ingest, ingest_more, read_stored
 from perennia.sources.json_events import from_json_lines, to_json_lines
 
 
@@ -120,3 +127,97 @@ def test_ingest_job(spark, folder):
     assert [r.customer_id for r in top_x(ltv(current), 10).collect()] == EXPECTED
     assert (current.site_visit.count(), current.image.count(), current.orders.count()) == (10, 8, 8)
     assert spark.read.parquet(out + "/event_log").count() == 30
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_arrays_of_any_layout(spark, folder, layout):
+    write_array(folder, D1_EVENTS[:20], "a.txt", layout)
+    write_array(folder, D1_EVENTS[20:], "b.txt", layout)
+    log = read_events(spark, folder)
+    assert ids(log) == EXPECTED and log.select("seq").distinct().count() == 30
+    assert log.where("_corrupt_record is not null").count() == 0
+    if layout != "indented":
+        lines = read_event_lines(spark, folder)
+        assert ids(lines) == EXPECTED and lines.select("seq").distinct().count() == 30
+        assert lines.where("_corrupt_record is not null").count() == 0
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_equal_times_keep_the_order_of_the_array(spark, folder, layout):
+    time = "2018-01-01T00:00:00.000Z"
+    write_array(folder, [customer("c", time, "old", "X", "Y"), customer("c", time, "new", "X", "Y", "UPDATE"), order("o", time, "c", "5 USD")], "a.txt", layout)
+    assert entities(read_events(spark, folder)).customer.first().last_name == "new"
+
+
+WHOLE = '[{"type": "IMAGE", "key": "1"}]'
+
+
+@pytest.mark.parametrize(
+    "text", [WHOLE + " " + WHOLE, WHOLE + "," + WHOLE, WHOLE + " xx", WHOLE + ', "x": 1', WHOLE[:-1], "null", "{}", "7", '{"type": "IMAGE"}', "[[]]"]
+)
+def test_what_is_not_one_array_is_corrupt(spark, folder, text):
+    write_array(folder, text, "a.txt")
+    write_array(folder, [], "b.txt")
+    rows = read_events(spark, folder).collect()
+    assert [(r._corrupt_record, r.type) for r in rows] == [(text, None)]
+
+
+def test_lines_with_several_events_or_junk(spark, folder):
+    event = '{"type": "IMAGE", "key": "%d"}'
+    lines = [event % 1 + ", " + event % 2, event % 3 + event % 4, "[", event % 5 + ",", "]", "  ", event % 6 + " xx", "[" + event % 7 + "]", "null"]
+    write_array(folder, "\n".join(lines), "a.txt")
+    rows = read_event_lines(spark, folder).collect()
+    assert sorted(r.key for r in rows if r.key) == ["1", "2", "5", "7"]
+    assert sorted(r._corrupt_record for r in rows if r._corrupt_record) == sorted([lines[1], lines[6]])
+    assert len({r.seq for r in rows}) == len(rows)
+
+
+def test_stores_without_rows(spark, folder):
+    os.makedirs(folder + "-in")
+    assert ingest_files(spark, folder + "-in", folder + "-none") == (0, 0)
+    current = stored_entities(spark, folder + "-none")
+    assert (current.customer.count(), current.facts.count(), ltv(current).count()) == (0, 0, 0)
+    assert read_stored(spark, folder + "-none", "rejects").count() == 0
+    write_array(folder, [e for e in D1_EVENTS if e["type"] == "CUSTOMER"], "a.txt")
+    ingest(read_events(spark, folder), folder + "-people")
+    assert ltv(stored_entities(spark, folder + "-people")).count() == 4
+
+
+def test_added_events_equal_one_ingest(spark, folder):
+    out = folder + "-out"
+    write_array(folder, D1_EVENTS[15:], "b.txt")
+    ingest(read_events(spark, folder, glob="b.txt"), out)
+    write_array(folder, D1_EVENTS[:15], "a.txt")
+    assert ingest_more(read_events(spark, folder, glob="a.txt"), out) == (30, 4)
+    assert [r.customer_id for r in top_x(ltv(stored_entities(spark, out)), 10).collect()] == EXPECTED
+
+
+def test_unknown_types_keep_their_name(spark, folder):
+    events = log_of(spark, folder, [{"type": "FOO", "verb": "NEW", "key": "k", "event_time": "2018-01-01T00:00:00Z"}])
+    write_event_log(events, folder + "-log")
+    write_event_log(read_event_log(spark, folder + "-log"), folder + "-again")
+    log = read_event_log(spark, folder + "-again")
+    assert [(r.type, r.source_type) for r in log.collect()] == [("OTHER", "FOO")]
+    assert rejects(log).first().type == "FOO"
+
+
+def test_wide_and_fine_amounts(spark, folder):
+    time = "2018-01-01T00:00:00.000Z"
+    amounts = ["250000000000000.00 USD", "0.00004 USD", "1e30 USD", "nan USD"]
+    log = log_of(spark, folder, [order(f"o{i}", time, "c", a) for i, a in enumerate(amounts)])
+    got = {r.order_id: r.amount for r in entities(log).orders.collect()}
+    assert got == {"o0": Decimal("250000000000000"), "o1": Decimal("0.00004")}
+    assert {r.key: r.reason for r in rejects(log).collect()} == {"o2": "AMOUNT_OUT_OF_RANGE", "o3": "INVALID_AMOUNT"}
+
+
+def test_dates_of_other_shapes(spark):
+    texts = ["2018/01/20", "2018/1/2 10:00", "20180120T124552Z", "20180120", "2018-01-20T23:55-05:00", "2018/01/200", "201801", "20/01/2018"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(event_date(F.col("t")).alias("d")).collect()
+    assert [str(r.d) for r in rows] == ["2018-01-20", "2018-01-02", "2018-01-20", "2018-01-20", "2018-01-20", "None", "None", "None"]
+
+
+def test_top_2000_per_group_is_cut_before_the_shuffle(spark):
+    rows = spark.range(20_000).selectExpr("id AS customer_id", "id % 3 AS g", "id * 7 % 10007 AS ltv")
+    top = top_per_group(rows, "g", 2000)
+    assert top._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+    assert top.count() == 6000

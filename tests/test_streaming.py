@@ -2,7 +2,7 @@ import os
 
 import pytest
 from fixtures import D1_EVENTS, D1_RESULT
-from helpers import write_array
+from helpers import LAYOUTS, write_array
 from pyspark.sql import functions as F
 from test_random import random_events
 
@@ -63,32 +63,33 @@ def _visits(spark, folder, times, files_per_trigger=1):
         events = [{"type": "SITE_VISIT", "verb": "NEW", "key": t, "event_time": t + "T10:00:00Z", "customer_id": "c"} for t in group]
         # Files arrive in the order of their modification times.
         os.utime(write_array(folder, events, f"part{i}.txt"), (10**9 + i, 10**9 + i))
-    stream = stream_events(spark, folder, files_per_trigger)
-    return stream.withColumn("ts", F.col("event_time").try_cast("timestamp"))
+    return stream_events(spark, folder, files_per_trigger)
 
 
-# The watermark that makes a visit late is that of the batch before last.
-ARRIVAL = [["2018-01-06", "2018-01-07"], ["2018-03-01"], ["2018-03-02"], ["2018-01-08"], ["2018-04-01"]]
+# Weeks and months late, and one page twice.
+ARRIVAL = [["2018-01-06", "2018-01-07"], ["2018-06-01"], ["2018-06-02"], ["2018-01-08", "2018-01-07"], ["2018-04-01"]]
 
 
-def test_weekly_counts_keep_late_visits_in_complete_mode(spark, folder):
+def test_weekly_counts_are_those_of_accepted_visits(spark, folder):
     out = folder + "-out"
-    stream = _visits(spark, folder, ARRIVAL)
-    jobs.stream_weekly_visits(stream, out + "/weeks", out + "/checkpoint").awaitTermination()
+    jobs.stream_weekly_visits(_visits(spark, folder, ARRIVAL), out + "/weeks", out + "/checkpoint").awaitTermination()
     got = {str(r.week_start): r.visits for r in jobs.read_weekly_visits(spark, out + "/weeks").collect()}
-    assert got == {"2017-12-31": 1, "2018-01-07": 2, "2018-02-25": 2, "2018-04-01": 1}
+    assert got == {"2017-12-31": 1, "2018-01-07": 2, "2018-05-27": 2, "2018-04-01": 1}
 
 
-def test_weekly_counts_drop_late_visits_in_append_mode(spark, folder):
+def test_repeated_keys_are_removed_and_late_ones_kept(spark, folder):
     out = folder + "-out"
-    stream = _visits(spark, folder, ARRIVAL)
-    jobs.stream_weekly_visits(stream, out + "/weeks", out + "/checkpoint", mode="append", lateness="7 days").awaitTermination()
-    got = {str(r.week_start): r.visits for r in spark.read.parquet(out + "/weeks").collect()}
-    assert got == {"2017-12-31": 1, "2018-01-07": 1, "2018-02-25": 2}
+    jobs.stream_first_seen(_visits(spark, folder, ARRIVAL), out + "/first", out + "/checkpoint").awaitTermination()
+    assert sorted(r.key for r in spark.read.parquet(out + "/first").collect()) == sorted({t for group in ARRIVAL for t in group})
 
 
-def test_repeated_keys_are_removed(spark, folder):
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_streamed_arrays_of_any_layout(spark, folder, layout):
+    for i in range(3):
+        write_array(folder, D1_EVENTS[i * 10 : i * 10 + 10], f"part{i}.txt", layout)
+    write_array(folder, '[{"type": "IMAGE"}] [', "part3.txt")
     out = folder + "-out"
-    stream = _visits(spark, folder, [["2018-01-01", "2018-01-02"], ["2018-01-02", "2018-01-03"]])
-    jobs.stream_first_seen(stream, out + "/first", out + "/checkpoint").awaitTermination()
-    assert sorted(r.key for r in spark.read.parquet(out + "/first").collect()) == ["2018-01-01", "2018-01-02", "2018-01-03"]
+    jobs.stream_to_log(stream_events(spark, folder, 1), out + "/log", out + "/checkpoint").awaitTermination()
+    log = read_event_log(spark, out + "/log")
+    assert [r.customer_id for r in top_x(ltv(entities(log)), 9).collect()] == [r[0] for r in D1_RESULT]
+    assert log.where("_corrupt_record is not null").count() == 1
