@@ -110,6 +110,10 @@ def ltv_sql_all(spark, sf_dir):
     return ltv_sql(*_sql_relations(spark, sf_dir))
 
 
+def ltv_sql_rank_all(spark, sf_dir):
+    return ltv_sql(*_sql_relations(spark, sf_dir), ranked=True)
+
+
 def ltv_sql_dense_rank_top10(spark, sf_dir):
     return ltv_sql(*_sql_relations(spark, sf_dir), k=10)
 
@@ -442,6 +446,7 @@ _QUERIES: dict[str, Query] = {
     "ltv_fold_top10": ltv_fold_top10,
     "ltv_fold_dense_rank_top10": ltv_fold_dense_rank_top10,
     "ltv_sql_all": ltv_sql_all,
+    "ltv_sql_rank_all": ltv_sql_rank_all,
     "ltv_sql_dense_rank_top10": ltv_sql_dense_rank_top10,
     "ltv_sql_customer_events_top10": ltv_sql_customer_events_top10,
     "ltv_touch_all": ltv_touch_all,

@@ -126,19 +126,19 @@ sales AS (
 ),
 accepted AS (SELECT * FROM sales WHERE seq = placed_seq OR (verb = 'UPDATE' AND seq > placed_seq)),
 touched AS (
-  SELECT owner, event_date FROM alive WHERE type = 'CUSTOMER'
+  SELECT owner, event_date, seq FROM alive WHERE type = 'CUSTOMER'
   UNION ALL
-  (SELECT owner, event_date FROM alive WHERE type IN ('SITE_VISIT', 'IMAGE')
+  (SELECT owner, event_date, seq FROM alive WHERE type IN ('SITE_VISIT', 'IMAGE')
    QUALIFY row_number() OVER (PARTITION BY owner, type, key ORDER BY seq) = 1)
   UNION ALL
-  SELECT owner, event_date FROM accepted
+  SELECT owner, event_date, seq FROM accepted
 ),
 amounts AS (
   SELECT owner, amount FROM accepted QUALIFY row_number() OVER (PARTITION BY owner, key ORDER BY seq DESC) = 1
 ),
 joined AS (
-  SELECT t.owner AS customer_id, t.visits, t.weeks, coalesce(a.revenue, 0) AS revenue
-  FROM (SELECT owner, count(*) AS visits, count(DISTINCT coalesce({_WEEK_U}, -1)) AS weeks
+  SELECT t.owner AS customer_id, t.first_seq, t.visits, t.weeks, coalesce(a.revenue, 0) AS revenue
+  FROM (SELECT owner, min(seq) AS first_seq, count(*) AS visits, count(DISTINCT coalesce({_WEEK_U}, -1)) AS weeks
         FROM touched GROUP BY owner) AS t
   LEFT JOIN (SELECT owner, sum(amount) AS revenue FROM amounts GROUP BY owner) AS a ON a.owner = t.owner
 ), {_scores('joined')}"""
@@ -207,13 +207,15 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, dense_rank() OVER (ORDER BY ltv DESC) AS rnk FROM scored) AS r WHERE rnk <= 10""",
     "ltv_sql_all": f"""WITH {_fold()}, {_SQL_SCORED} {_SQL_PEOPLE}
         FROM customer AS c JOIN sql_scored AS r ON r.customer_id = c.c_custkey""",
+    "ltv_sql_rank_all": f"""WITH {_fold()}, {_SQL_SCORED} {_SQL_PEOPLE}, r.rnk AS rank
+        FROM customer AS c JOIN sql_ranked AS r ON r.customer_id = c.c_custkey""",
     "ltv_sql_dense_rank_top10": f"""WITH {_fold()}, {_SQL_SCORED} {_SQL_PEOPLE}, r.rnk AS rank
         FROM customer AS c JOIN sql_ranked AS r ON r.customer_id = c.c_custkey WHERE r.rnk <= 10""",
     "ltv_sql_customer_events_top10": f"""WITH {_fold()}, {_SQL_SCORED}
         SELECT c.key AS customer_id, c.last_name, c.adr_city, c.adr_state, r.ltv AS ltv, r.rnk AS rank
         FROM log AS c JOIN sql_ranked AS r ON r.customer_id = c.key WHERE c.type = 'CUSTOMER' AND r.rnk <= 10""",
     "ltv_touch_all": f"{_TOUCH} SELECT customer_id, visits, weeks, ltv FROM scored",
-    "ltv_touch_top10": f"{_TOUCH} SELECT customer_id, ltv FROM scored ORDER BY ltv DESC, customer_id LIMIT 10",
+    "ltv_touch_top10": f"{_TOUCH} SELECT customer_id, ltv FROM scored ORDER BY ltv DESC, first_seq LIMIT 10",
     "touch_customer_profiles": f"""{_TOUCH}
         SELECT customer_id, last_name, adr_city, adr_state
         FROM (SELECT j.customer_id, a.last_name, a.adr_city, a.adr_state, a.seq

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from perennia.session import cut
+
 # Up to this many rank values are broadcast; more are joined by shuffle.
 BROADCAST_RANKS = 100_000
 _COPIES = 32
@@ -43,6 +45,26 @@ def dense_rank_x(
     return rows.withColumn("_part", part).join(copies, [by, "_part"], "inner").drop("_part")
 
 
+def dense_rank_all(rows: DataFrame, by: str = "ltv", rank: str = "rank") -> DataFrame:
+    """All rows with the dense rank of `by` descending; no task sees all values.
+
+    The distinct values are range-partitioned and stored; each partition numbers its own, and what lies
+    before it is a sum over at most as many counts as there are partitions. Rows meet their value by a join
+    whose large partitions AQE splits, so many rows of one value do no harm. A NULL has no rank.
+    """
+    values = rows.select(by).where(F.col(by).isNotNull()).distinct().repartitionByRange(F.desc(by))
+    parted = cut(values.withColumn("_part", F.spark_partition_id()))
+    before, offsets = 0, []
+    for part in parted.groupBy("_part").count().orderBy("_part").collect():
+        offsets += [F.lit(part["_part"]), F.lit(before)]
+        before += part["count"]
+    if not offsets:
+        return rows.withColumn(rank, F.lit(None).cast("bigint"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc(by)))
+    ranked = parted.select(by, (F.try_element_at(F.create_map(*offsets), F.col("_part")) + place).cast("bigint").alias(rank))
+    return rows.join(ranked, by, "left")
+
+
 def top_per_group(rows: DataFrame, group: str, k: int, by: str = "ltv", tie: str = "customer_id") -> DataFrame:
     """The k highest rows of each group with their position.
 

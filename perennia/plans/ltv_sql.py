@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from perennia.operators.lookup import HOT_ROWS, join_unique
-from perennia.operators.rank import dense_rank_x
+from perennia.operators.rank import dense_rank_all, dense_rank_x
 
 # Weeks of the year fit the bits of one long, so the distinct weeks need no second shuffle.
 _SCORED = """
@@ -41,9 +41,15 @@ def scored_visitors(site_visit: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def ltv_sql(
-    customer: DataFrame, site_visit: DataFrame, orders: DataFrame, k: int | None = None, hot_rows: int = HOT_ROWS
+    customer: DataFrame,
+    site_visit: DataFrame,
+    orders: DataFrame,
+    k: int | None = None,
+    hot_rows: int = HOT_ROWS,
+    ranked: bool = False,
 ) -> DataFrame:
-    """Lifetime value of all visiting customers, or of those ranked 1 to k (ties included) with the rank.
+    """Lifetime value of all visiting customers, with their rank if asked for, or of those ranked 1 to k (ties
+    included) with the rank.
 
     `site_visit` has (customer_id, event_date), `orders` (customer_id, amount) and `customer`
     (customer_id, last_name, adr_city, adr_state), the last possibly with repeated ids.
@@ -51,6 +57,10 @@ def ltv_sql(
     scored = scored_visitors(site_visit, orders).select("customer_id", "ltv")
     if k is not None:
         scored = dense_rank_x(scored, k)
+    elif ranked:
+        scored = dense_rank_all(scored)
     ranks = [c for c in scored.columns if c not in ("customer_id", "ltv")]
-    joined = join_unique(customer, scored, "customer_id", hot_rows)
-    return joined.select("customer_id", "last_name", "adr_city", "adr_state", "ltv", *ranks)
+    # No other columns: the join hashes all it is given.
+    people = customer.select("customer_id", "last_name", "adr_city", "adr_state")
+    joined = join_unique(people, scored, "customer_id", hot_rows)
+    return joined.select(*people.columns, "ltv", *ranks)

@@ -31,7 +31,7 @@ def alive_events(log: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, D
 
 
 def customer_touches(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(customer_id, visits, weeks, revenue) of every customer that came into being."""
+    """(customer_id, first_seq, visits, weeks, revenue) of every customer that came into being."""
     creators, others = alive_events(log.withColumn("week_bit", week_bits(F.col("event_date"))), hot_rows)
 
     # Pages and images count once per customer; a customer event is its own group by its position.
@@ -39,9 +39,9 @@ def customer_touches(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     once = (
         creators.unionByName(others.where(F.col("type") != ORDER))
         .groupBy("owner", "type", "key", own_seq.alias("own_seq"))
-        .agg(F.min_by("week_bit", "seq").alias("week_bit"))
+        .agg(F.min_by("week_bit", "seq").alias("week_bit"), F.min("seq").alias("first_seq"))
         .select(
-            "owner", F.lit(1).cast("bigint").alias("visits"), "week_bit", F.lit(None).cast(AMOUNT).alias("amount")
+            "owner", "first_seq", F.lit(1).cast("bigint").alias("visits"), "week_bit", F.lit(None).cast(AMOUNT).alias("amount")
         )
     )
 
@@ -57,6 +57,7 @@ def customer_touches(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             F.count(F.lit(1)).alias("visits"),
             F.bit_or("week_bit").alias("week_bit"),
             F.max_by("amount", "seq").alias("amount"),
+            F.min("seq").alias("first_seq"),
         )
         .drop("key")
     )
@@ -65,6 +66,7 @@ def customer_touches(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         once.unionByName(per_order)
         .groupBy(F.col("owner").alias("customer_id"))
         .agg(
+            F.min("first_seq").alias("first_seq"),
             F.sum("visits").alias("visits"),
             F.bit_count(F.bit_or("week_bit")).cast("bigint").alias("weeks"),
             F.coalesce(F.sum("amount"), F.lit(0).cast(AMOUNT)).alias("revenue"),
@@ -75,7 +77,7 @@ def customer_touches(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 def touch_ltv(
     log: DataFrame, weeks_per_year: int = 52, lifespan_years: int | float = 10, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """(customer_id, visits, weeks, revenue, revenue_per_visit, visits_per_week, ltv).
+    """(customer_id, first_seq, visits, weeks, revenue, revenue_per_visit, visits_per_week, ltv).
 
     Revenue per visit is 0 unless revenue is positive.
     """
