@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from perennia.llm.common import cut, filled
 from perennia.llm.graph import components
-from perennia.llm.tokens import slices
+from perennia.llm.tokens import kept, slices
 
 SHINGLE = 5
 PERMUTATIONS = 64
@@ -35,7 +35,7 @@ BLOCK = 512
 #: agrees in 109 on average, with a standard deviation of 4.
 LEAST_AGREEING = 80
 #: Words whose hashes a task remembers, and hashes mixed at once.
-REMEMBERED, AT_ONCE = 500_000, 4096
+REMEMBERED, AT_ONCE = 300_000, 4096
 
 _RANDOM = np.random.Generator(np.random.PCG64(20_240_229))
 _MULTIPLIERS = _RANDOM.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,7 +98,7 @@ def sign(docs: DataFrame) -> DataFrame:
     """(id, n_shingles, digest of the set, band keys) of (id, text)."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler = kept(("shingles",), Shingler)
         for batch in batches:
             for part in slices(batch):
                 sizes, digests, bands = [], [], []
@@ -131,16 +131,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, last = Shingler(), (None, None)
+        shingler, last = kept(("shingles",), Shingler), (None, None)
         for batch in batches:
-            kept = []
+            alike = []
             for row, (text_a, text_b) in enumerate(zip(batch.column(2), batch.column(3))):
                 text_a, text_b = text_a.as_py(), text_b.as_py()
                 if last[0] != text_a:
                     last = (text_a, shingler.shingles(text_a))
                 if similar(last[1], shingler.shingles(text_b), percent):
-                    kept.append(row)
-            yield batch.select([0, 1]).take(pa.array(kept, pa.int32()))
+                    alike.append(row)
+            yield batch.select([0, 1]).take(pa.array(alike, pa.int32()))
 
     return with_texts.select("a", "b", "text_a", "text_b").mapInArrow(compared, "a long, b long")
 
@@ -156,7 +156,7 @@ def linked_block(ids: list[int], groups: list[int], sides: list[int], texts: lis
 
     A block of one side holds side 0 only. The pairs that agree most are compared first.
     """
-    shingler = Shingler()
+    shingler = kept(("shingles",), Shingler)
     sets = [shingler.shingles(t) for t in texts]
     values = np.stack([signature(s) for s in sets])
     rows = np.flatnonzero(np.array(sides) == 0)

@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perennia.llm.common import cut, filled
-from perennia.llm.tokens import WordEncoder, slices
+from perennia.llm.tokens import WordEncoder, kept, slices
 
 GROUP = 32_768
 
@@ -87,9 +86,8 @@ def pack_group(
     return bins, offsets
 
 
-@lru_cache(maxsize=1)
 def _library_encoder(vocabulary: str) -> WordEncoder:
-    """Words to their ids as bytes by the library; kept for the next task of the same worker."""
+    """Words to their ids as bytes by the library."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -123,7 +121,9 @@ def document_pieces(
     columns = ["id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, last = _library_encoder(vocabulary.value), np.array([end], "<u4").tobytes()
+        text = vocabulary.value
+        encoder = kept(("packing", zlib.crc32(text.encode())), lambda: _library_encoder(text))
+        last = np.array([end], "<u4").tobytes()
         for batch in batches:
             for part in slices(batch):
                 out = [[] for _ in columns]

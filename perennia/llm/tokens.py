@@ -16,6 +16,20 @@ import regex
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What `make` gives, kept for the next task of this worker with the same key.
+
+    Only the last one is: when a worker turns to another operator, the memory of the one before goes.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def words_of(text: str) -> list[str]:
     """The words of a text: all but the first follow a space, those that begin with a line feed follow nothing."""
     return text.replace("\n", " \n").split(" ")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perennia.llm.common import filled
-from perennia.llm.tokens import slices
+from perennia.llm.tokens import kept, slices
 
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1000, 1500, 20_000
 CHAIN = 256
@@ -35,7 +35,7 @@ BUCKETS = 1 << 18
 ROUNDS, RATE, DECAY = 40, 0.3, 1e-4
 #: A form marks toxic words if its odds are so many times those elsewhere, in so many documents.
 ODDS, LEAST_DOCUMENTS = 60.0, 3
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 EDGES = ".,;:!?\"'()[]{}<>…«»“”„"
 
 
@@ -297,7 +297,8 @@ def score_toxicity(
     rows = docs.select(F.col(id_col).alias("id"), filled(F.col(text_col)).alias("text"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = Tagger(sent.value)
+        model = sent.value
+        tagger = kept(("toxicity", zlib.crc32(model.weights.tobytes()), model.logistic), lambda: Tagger(model))
         for batch in batches:
             for part in slices(batch):
                 texts = part.column(1).to_pylist()
