@@ -229,8 +229,11 @@ ARC_SCHEMA = (
 )
 
 
-def read_arc(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of all ARC archives of a folder, version blocks too, with digest and length of each payload."""
+def read_arc(spark: SparkSession, folder: str, packed: bool = False) -> DataFrame:
+    """The records of all ARC archives of a folder, version blocks too, with digest and length of each payload.
+
+    `packed` payloads are compressed by zlib, for moving them.
+    """
     names = [part.split()[0] for part in ARC_SCHEMA.split(", ")]
     kinds = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.int64()]
 
@@ -243,7 +246,8 @@ def read_arc(spark: SparkSession, folder: str) -> DataFrame:
                     source = re.search(rb"^X-Source-Id: (-?[0-9]+)\r$", head, re.M)
                     rows.append(
                         (archive.as_py(), r.offset, r.url, r.fields["ip"], r.fields["date"], r.fields["type"], r.truncated,
-                         int(source[1]) if source else None, head, payload, hashlib.sha256(payload).hexdigest(), len(payload))
+                         int(source[1]) if source else None, head, zlib.compress(payload, LEVEL) if packed else payload,
+                         hashlib.sha256(payload).hexdigest(), len(payload))
                     )
                     size += len(payload)
                     if size > ARCHIVE:
@@ -267,7 +271,7 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str) -> None:
     place; no identifier comes last) is stored and the others become revisits of it. Only identifiers
     and digests are grouped; payloads move only to meet that decision.
     """
-    records = read_arc(spark, arc_folder)
+    records = read_arc(spark, arc_folder, packed=True)
     responses = cut(
         records.where((F.col("payload_bytes") >= LEAST_REVISIT) & (F.length("head") > 0)).select(
             "payload_digest",
@@ -308,7 +312,7 @@ def _converted(
     """One WARC record."""
     revisit = first_archive is not None
     made = "warcinfo" if url.startswith("filedesc:") else "revisit" if revisit else "response" if head else "resource"
-    block = head if revisit else head + payload
+    block = head if revisit else head + zlib.decompress(payload)
     # Rows repeated under one identifier are told apart by their place.
     key = f"{_key(source, archive, offset)}:{archive.rsplit('/', 1)[-1]}:{offset}" if revisit else _key(source, archive, offset)
     fields = [("WARC-Type", made), ("WARC-Record-ID", record_id(key)), ("WARC-Date", warc_date(date))]
