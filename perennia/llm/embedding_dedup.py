@@ -164,7 +164,12 @@ def _with_cells(classes: DataFrame, turn: np.ndarray, width: float) -> DataFrame
 def _dimension(classes: DataFrame, dims: int, threshold: float) -> DataFrame:
     """(class, links, joined) among the classes of one dimension."""
     rows = min(SAMPLE_ROWS, max(1, SAMPLE_NUMBERS // dims))
-    sample = classes.orderBy(F.xxhash64("class")).limit(rows).select("vector").collect()
+    # The share is taken by a hash, so each task passes on its part of the sample and no more.
+    share = min(1_000_000, 1 + 1_000_000 * rows // max(1, classes.count()))
+    drawn = classes.where(F.pmod(F.xxhash64("class"), F.lit(1_000_000)) < share)
+    sample = drawn.select("vector").limit(rows).collect()
+    if not sample:
+        sample = classes.select("vector").limit(1).collect()
     turn = rotation(unit(np.frombuffer(b"".join(r[0] for r in sample), np.float64).reshape(-1, dims)))
     width = float(np.sqrt(max(0.0, 2 - 2 * threshold))) * (1 + 1e-6) + 1e-9
     span = int(2 / width) + 3
