@@ -33,7 +33,7 @@ def read_stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def ingest(events: DataFrame, folder: str, bad_time: str = "null_week") -> Summary:
     """Store events as a log and as current entities below `folder`, replacing what is there.
 
-    The counts are observed while the tables are written, so they cost no pass of their own.
+    Customers are counted while their table is written, events from the footers of the log's files.
     """
     write_event_log(events, f"{folder}/event_log", mode="overwrite")
     _keep_schema(log_rows(events), folder, "event_log")
