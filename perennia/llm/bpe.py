@@ -15,10 +15,9 @@ import io
 import json
 import mmap
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -27,14 +26,16 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perennia.llm.common import filled
-from perennia.llm.tokens import PATTERN, WordEncoder, apart, slices, spelt, words_of
+from perennia.llm.common import cut, filled
+from perennia.llm.tokens import PATTERN, WordEncoder, apart, kept, slices, spelt, words_of
 from perennia.session import work_folder
 
 #: Words longer than this are never put into the lexicon.
 LONGEST = 64
 #: Distinct words a task counts before it passes the counts on.
 COUNTED = 400_000
+#: Words that a worker remembers.
+REMEMBERED = 800_000
 
 
 def byte_letters() -> list[str]:
@@ -44,6 +45,10 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+#: Ranks after every merge.
+_NONE = (1 << 40, -1)
+
+
 class Vocabulary:
     """Ids, merge ranks and special tokens of a byte-level BPE file of the `tokenizers` library."""
 
@@ -65,16 +70,19 @@ class Vocabulary:
         ids = [self.id_of_byte[b] for b in word]
         if len(ids) > 100:
             return self._merge_long(ids)
-        merges = self.merges
-        while len(ids) > 1:
-            best, at = None, 0
-            for i in range(len(ids) - 1):
-                found = merges.get((ids[i], ids[i + 1]))
-                if found is not None and (best is None or found[0] < best[0]):
-                    best, at = found, i
-            if best is None:
+        find = self.merges.get
+        found = [find(pair, _NONE) for pair in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best is _NONE:
                 break
+            at = found.index(best)
             ids[at : at + 2] = [best[1]]
+            del found[at]
+            if at:
+                found[at - 1] = find((ids[at - 1], ids[at]), _NONE)
+            if at < len(found):
+                found[at] = find((ids[at], ids[at + 1]), _NONE)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -230,16 +238,25 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(docs: DataFrame, vocabulary: str, size: int = 50_000, text_col: str = "text") -> str:
-    """Compile the `size` most frequent words of `docs`; returns the name of the file that tasks map.
+def build_lexicon(docs: DataFrame, vocabulary: str, size: int = 200_000, text_col: str = "text") -> str:
+    """Compile the most frequent words of `docs`, `size` at most; returns the name of the file that tasks map.
 
-    `vocabulary` is the text of the vocabulary file. The driver holds at most `size` words of LONGEST bytes.
+    `vocabulary` is the text of the vocabulary file. The least count is chosen from a histogram of counts,
+    so that no more than `size` words of LONGEST bytes ever reach the driver.
     """
-    spark = docs.sparkSession
-    frequent = count_words(docs, text_col).orderBy(F.desc("n"), "word").limit(size).collect()
+    # What occurs once is not frequent, and makes up most of the words.
+    counted = cut(count_words(docs, text_col).where("n > 1"))
+    level = F.floor(F.log2("n") * 8).cast("int")
+    found, least = 0, None
+    for row in counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        found += row["count"]
+        if found > size:
+            break
+        least = row["level"]
+    frequent = counted.where(level >= least).select("word").collect() if least is not None else []
     merge = Vocabulary(vocabulary).merge
     words = sorted(bytes(r["word"]) for r in frequent)
-    return share(spark, packed(compile_words([(w, merge(w)) for w in words])))
+    return share(docs.sparkSession, packed(compile_words([(w, merge(w)) for w in words])))
 
 
 def share(spark: SparkSession, content: bytes) -> str:
@@ -254,36 +271,50 @@ def share(spark: SparkSession, content: bytes) -> str:
     return name
 
 
+class Word(NamedTuple):
+    """What is remembered of one word: its ids in print, which takes less room, and the bytes they stand for."""
+
+    printed: str
+    decoded: bytes
+
+
 class BpeEncoder:
     """Encodes and decodes texts in one task, with the mapped lexicon."""
 
     def __init__(self, vocabulary: str, lexicon: Transducer):
         self.vocabulary, self.lexicon = Vocabulary(vocabulary), lexicon
-        self.encoder = WordEncoder(self._encode_strings, {t: [i] for t, i in self.vocabulary.special.items()})
+        self.names = {i: str(i) for i in self.vocabulary.bytes_of}
+        special = {t: self._word([i]) for t, i in self.vocabulary.special.items()}
+        self.encoder = WordEncoder(self._encode_strings, special, REMEMBERED)
+
+    def _word(self, ids: list[int]) -> Word:
+        return Word(",".join(map(self.names.__getitem__, ids)), b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)))
 
-    def _encode_strings(self, strings: list[str]) -> list[list[int]]:
+    def _encode_strings(self, strings: list[str]) -> list[Word]:
         pieces = [[p.encode() for p in PATTERN.findall(s)] for s in strings]
         distinct = list({p for ps in pieces for p in ps})
+        offsets, table, merge = self.lexicon.offsets, self.lexicon.ids, self.vocabulary.merge
         ids = {}
         for piece, place in zip(distinct, self.lexicon.places(distinct).tolist()):
-            if place >= 0:
-                ids[piece] = self.lexicon.ids[self.lexicon.offsets[place] : self.lexicon.offsets[place + 1]].tolist()
-            else:
-                ids[piece] = self.vocabulary.merge(piece)
-        return [ids[ps[0]] if len(ps) == 1 else [i for p in ps for i in ids[p]] for ps in pieces]
+            ids[piece] = table[offsets[place] : offsets[place + 1]].tolist() if place >= 0 else merge(piece)
+        return [self._word(ids[ps[0]] if len(ps) == 1 else [i for p in ps for i in ids[p]]) for ps in pieces]
+
+    def words(self, texts: list[str]) -> list[list[Word]]:
+        """The words of each text. Special tokens written out in a text are those tokens."""
+        return self.encoder.encode(texts)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text. Special tokens written out in a text are those tokens."""
-        return [list(chain.from_iterable(values)) for values in self.encoder.encode(texts)]
+        """The ids of each text."""
+        printed = (",".join([word.printed for word in words]) for words in self.words(texts))
+        return [list(map(int, ids.split(","))) if ids else [] for ids in printed]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=1)
 def _task_encoder(vocabulary: str, lexicon: str) -> BpeEncoder:
-    """Kept for the next task of the same worker."""
-    return BpeEncoder(vocabulary, mapped(SparkFiles.get(lexicon)))
+    """Lexicons have names of their own."""
+    return kept(("bpe", lexicon, zlib.crc32(vocabulary.encode())), lambda: BpeEncoder(vocabulary, mapped(SparkFiles.get(lexicon))))
 
 
 def encode_documents(
@@ -319,14 +350,16 @@ def digest_documents(docs: DataFrame, vocabulary_path: str, lexicon: str) -> Dat
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _task_encoder(vocabulary.value, lexicon)
-        names = {i: str(i) for i in encoder.vocabulary.bytes_of}
         for batch in batches:
             for part in slices(batch):
                 counts, shas, decoded = [], [], []
-                for ids in encoder.encode(part.column(1).to_pylist()):
-                    counts.append(len(ids))
-                    shas.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
+                for words in encoder.words(part.column(1).to_pylist()):
+                    # Bytes are decoded together: a character may be spread over words.
+                    printed = ",".join([w[0] for w in words])
+                    text = b"".join([w[1] for w in words]).decode("utf-8", "replace")
+                    counts.append(printed.count(",") + 1 if words else 0)
+                    shas.append(hashlib.sha256(printed.encode()).hexdigest())
+                    decoded.append(hashlib.sha256(text.encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(decoded, pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -79,7 +79,7 @@ def test_every_character_is_cut_like_the_library(library, vocabulary):
 def test_encode_documents(spark, library, vocabulary):
     rows = [(1, "the cat", 1), (2, None, 2), (3, "", 3), (3, "the cat", 4), (None, "x<|endoftext|>y", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids long")
-    lexicon = bpe.build_lexicon(docs, vocabulary, size=2)
+    lexicon = bpe.build_lexicon(docs, vocabulary, size=3)
     got = sorted(bpe.encode_documents(docs, PATH, lexicon).collect(), key=str)
     want = [(r[0], library.encode(r[1] or "", add_special_tokens=False).ids, r[1] or "") for r in rows]
     assert sorted([(r["doc_id"], r["ids"], r["decoded"]) for r in got], key=str) == sorted(want, key=str)
