@@ -21,25 +21,44 @@ from perennia.session import configure, work_folder
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose id is not in `dropped`; a null id is never dropped."""
-    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+def _numbered(docs: DataFrame, null_ids: str) -> DataFrame:
+    """The documents with `row`, another number for each row, in the order of doc_id; null ids come "first" or "last".
+
+    Where every row has an id of its own that is the number. Else the rows are sorted and stored with
+    their numbers below the shared folder: repeated ids, and all null ones, are documents of their own.
+    """
+    if docs.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        return docs.withColumn("row", F.col("doc_id"))
+    by = {"first": F.asc_nulls_first, "last": F.asc_nulls_last}[null_ids]("doc_id")
+    # Rows of one id may go to several tasks.
+    dealt = docs.select(*COLUMNS, F.spark_partition_id().alias("task")).repartitionByRange(by, F.xxhash64("text"), "task")
+    folder = work_folder(docs.sparkSession, "pipeline-rows")
+    dealt.sortWithinPartitions(by).select(*COLUMNS, F.monotonically_increasing_id().alias("row")).write.parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
+
+
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows whose number is not in `dropped`."""
+    return rows.join(dropped.select("row"), "row", "left_anti").select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
     model = learn_toxicity(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, score_toxicity(docs, model).where("predicted = 1"))
+    rows = _numbered(docs, "last")
+    return _without(rows, score_toxicity(rows, model, id_col="row").where("predicted = 1"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest doc_id stays."""
-    return _without(docs, exact_dedup(docs, keep="max").where("not kept"))
+    """Of equal texts the document with the largest doc_id stays, one row of it; a null id only if there is no other."""
+    rows = _numbered(docs, "first")
+    return _without(rows, exact_dedup(rows, id_col="row", keep="max").where("not kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    return _without(docs, near_duplicates(docs, percent=85).where("not kept"))
+    """Of each group of near copies the document with the smallest doc_id stays, one row of it; null ids count as largest."""
+    rows = _numbered(docs, "last")
+    return _without(rows, near_duplicates(rows, percent=85, id_col="row").where("not kept"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,30 @@ def test_empty_and_odd_tables(spark, folder):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, folder)
         assert {r["doc_id"] for r in docs.collect()} <= left
+
+
+def test_stages_decide_by_row(spark, folder):
+    """Repeated rows leave one survivor, and a null id protects nothing."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    words = [f"wort{i}" for i in range(40)]
+    rows = [(i, " ".join(words[(i * 7 + k) % 40] for k in range(12)) + (" groblixx" if i % 2 else f" rest{i}"), "x", "y", i) for i in range(60)]
+    spark.createDataFrame([(i, 0, i % 2) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    clean, toxic = "wort1 wort9 wort3 wort7", "wort1 groblixx wort5 groblixx"
+    odd = [(None, toxic), (None, clean), (900, clean + " rest"), (900, toxic)]
+    docs = spark.createDataFrame(rows + [(i, t, None, None, None) for i, t in odd], schema)
+    left = corpus_pipeline.drop_toxic(spark, docs, folder).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left if r["lang"] is None and r["doc_id"]) == [(900, clean + " rest")]
+    assert [r["text"] for r in left if r["doc_id"] is None] == [clean]
+    assert sorted(r["doc_id"] for r in left if r["lang"]) == list(range(0, 60, 2))
+
+    copies = [(1, "a"), (1, "a"), (2, "b"), (2, "c"), (3, "B"), (None, "a"), (None, "n"), (None, "N"), (None, "c")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in copies], schema)
+    left = [(r["doc_id"], r["text"].lower()) for r in corpus_pipeline.drop_exact_copies(spark, docs, folder).collect()]
+    assert sorted(left, key=str) == sorted([(1, "a"), (2, "c"), (3, "b"), (None, "n")], key=str)
+
+    near = [" ".join(f"{p}{i}" for i in range(100)) for p in "pqr"]
+    more = [t + " end" for t in near]
+    docs = [(5, near[0]), (5, more[0]), (5, near[1]), (2, more[1]), (None, near[1] + " null"), (None, near[2]), (None, more[2])]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in docs], schema)
+    left = [(r["doc_id"], r["text"][0]) for r in corpus_pipeline.drop_near_copies(spark, docs, folder).collect()]
+    assert sorted(left, key=str) == sorted([(5, "p"), (2, "q"), (None, "r")], key=str)
