@@ -4,7 +4,7 @@ DataFrame functions only. A native regular expression gives the matches and what
 (`regexp_extract_all` and `split`); running sums of their lengths give the places. The patterns
 are written so that no run of characters is scanned twice or recursed into, however long.
 
-Further spans are words with a digit or `@`. Five labelers vote on each (1 personal, 0 not, x abstain):
+Further spans are words with a digit or `@` (of long words, parts). Five labelers vote on each (1 personal, 0 not, x abstain):
 shape by regular expression, a gazetteer of names for secrets, the words before it, its form, and
 whether a base span covers it. The counts of the votes over the whole corpus - a table of at most
 3^5 votes times the forms - go to the driver, where expectation-maximisation estimates how
@@ -41,8 +41,14 @@ SHAPES = (
 )
 NO_SHAPES = r"^[^0-9]*[0-9]{1,4}[^0-9]*$|^[0-9]+(\.[0-9]+){1,2}[.,;]?$"
 CONTEXT = 24
-#: Candidates longer than this are judged by their first characters; their place is whole.
+#: Words longer than this, are judged by their parts.
 SEEN = 256
+#: A part: a shape, or what lies between shapes, punctuation and other scripts, in pieces of at most SEEN characters.
+PART = (
+    rf"(?:{SHAPES})"
+    rf"|(?:(?!{SHAPES})[\x21-\x7E&&[^&;,?\"'{{}}()\[\]<>|=:]]){{1,{SEEN}}}+"
+    rf"|[^\x00-\x7F]{{1,{SEEN}}}+"
+)
 
 
 class SpanModel(NamedTuple):
@@ -135,20 +141,83 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, "1").when(no, "0").otherwise("x")
 
 
-def _judged(candidate: Column, base: Column) -> Column:
-    """A candidate with its votes and its form."""
+def _overlapping(base: Column, start: Column, end: Column) -> Column:
+    return F.filter(base, lambda b: (b["start"] < end) & (start < b["end"]))
+
+
+def _gaps(word: Column, end: Column, base: Column) -> Column:
+    """Array of (start, end), places in the text, of what base spans leave of a word."""
+    spans = F.array_sort(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+
+    def gap(start, stop):
+        return F.when(start < stop, F.array(F.struct(start.alias("start"), stop.alias("end")))).otherwise(
+            F.array().cast("array<struct<start:bigint,end:bigint>>")
+        )
+
+    return F.aggregate(
+        spans,
+        F.struct(word["start"].alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap(acc["at"], s["start"])).alias("out")
+        ),
+        lambda acc: F.concat(acc["out"], gap(acc["at"], end)),
+    )
+
+
+def _parts(word: Column, end: Column, base: Column) -> Column:
+    """The parts of a word, outside its base spans, that are candidates; each with its votes and form."""
+
+    def of_gap(gap):
+        text = F.substring(
+            word["text"], (gap["start"] - word["start"] + 1).cast("int"), (gap["end"] - gap["start"]).cast("int")
+        )
+        # What stands before the first part of a word is what stands before the word.
+        lead = F.when(gap["start"] == word["start"], word["before"]).otherwise("")
+
+        def placed(parts):
+            return F.transform(
+                parts,
+                lambda p, i: F.struct(
+                    p["text"].alias("text"),
+                    F.concat(F.when(i == 0, lead).otherwise(F.get(parts, i - 1)["text"]), p["before"]).alias("before"),
+                    (gap["start"] + p["start"]).alias("start"),
+                ),
+            )
+
+        return let(_matches(text, PART), placed)
+
+    def may(part):
+        # With a digit or `@` as words are, or told by its shape or by the words before it.
+        return part["text"].rlike("[0-9@]") | part["text"].rlike(SHAPES) | part["before"].rlike(CUES)
+
+    parts = F.flatten(F.transform(_gaps(word, end, base), of_gap))
+    return F.transform(F.filter(parts, may), lambda p: _voted(p, F.lit(False)))
+
+
+def _judged(word: Column, base: Column) -> Column:
+    """The candidates in a word with their votes and forms: itself, or its parts if it is long."""
+    end = word["start"] + F.char_length(word["text"])
+    short = F.char_length(word["text"]) <= SEEN
+
+    def judged(spans):
+        covered = F.size(spans) > 0
+        whole = F.when(short, F.array(_voted(word, covered))).otherwise(F.array())
+        return F.concat(whole, F.when(short, F.array()).otherwise(_parts(word, end, spans)))
+
+    return let(_overlapping(base, word["start"], end), judged)
+
+
+def _voted(candidate: Column, covered: Column) -> Column:
     return let(
         F.struct(
-            F.substring(candidate["text"], 1, SEEN).alias("seen"),
-            F.substring(candidate["before"], -CONTEXT, CONTEXT).alias("before"),
+            candidate["text"].alias("seen"), F.substring(candidate["before"], -CONTEXT, CONTEXT).alias("before")
         ),
-        lambda parts: _voted(candidate, parts["seen"], parts["before"], base),
+        lambda parts: _ballot(candidate, parts["seen"], parts["before"], covered),
     )
 
 
-def _voted(candidate: Column, seen: Column, before: Column, base: Column) -> Column:
-    end = candidate["start"] + F.char_length(candidate["text"])
-    covered = F.exists(base, lambda b: (b["start"] < end) & (candidate["start"] < b["end"]))
+def _ballot(candidate: Column, seen: Column, before: Column, covered: Column) -> Column:
+    end = candidate["start"] + F.char_length(seen)
     length = F.char_length(seen)
     digits = F.char_length(_digits(seen))
     letters = F.char_length(F.regexp_replace(seen, "[^A-Za-z]", ""))
@@ -181,7 +250,7 @@ def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
             F.col("_text").rlike("[0-9@]"),
             let(
                 F.col("_base"),
-                lambda base: F.transform(_matches(F.col("_text"), CANDIDATE), lambda c: _judged(c, base)),
+                lambda base: F.flatten(F.transform(_matches(F.col("_text"), CANDIDATE), lambda c: _judged(c, base))),
             ),
         ),
     )
@@ -235,7 +304,8 @@ def annotate(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataF
     """`docs` with `base_spans` and `spans`, arrays of (kind, start, end) in code points, end exclusive.
 
     Both are sorted by kind as in KINDS (OTHER last), then start. `spans` holds the base spans and
-    each candidate that the model takes for personal data and that no base span covers. Null and
+    each candidate that the model takes for personal data and that no base span covers. A word of
+    more than SEEN characters is judged by its parts outside base spans, each with its own place. Null and
     empty texts have none. Columns of these two names are replaced; all others stay as they are.
     """
     found = _candidates(docs, text_col)
