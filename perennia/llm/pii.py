@@ -4,7 +4,7 @@ DataFrame functions only. A native regular expression gives the matches and what
 (`regexp_extract_all` and `split`); running sums of their lengths give the places. The patterns
 are written so that no run of characters is scanned twice or recursed into, however long.
 
-Further spans are words with a digit or `@` (of long words, parts). Five labelers vote on each (1 personal, 0 not, x abstain):
+Further spans are words with a digit or `@`; of words that are long or that base spans meet, parts. Five labelers vote on each (1 personal, 0 not, x abstain):
 shape by regular expression, a gazetteer of names for secrets, the words before it, its form, and
 whether a base span covers it. The counts of the votes over the whole corpus - a table of at most
 3^5 votes times the forms - go to the driver, where expectation-maximisation estimates how
@@ -41,7 +41,7 @@ SHAPES = (
 )
 NO_SHAPES = r"^[^0-9]*[0-9]{1,4}[^0-9]*$|^[0-9]+(\.[0-9]+){1,2}[.,;]?$"
 CONTEXT = 24
-#: Words longer than this, are judged by their parts.
+#: Words longer than this, and what base spans leave of a word, are judged by their parts.
 SEEN = 256
 #: A part: a shape, or what lies between shapes, punctuation and other scripts, in pieces of at most SEEN characters.
 PART = (
@@ -195,14 +195,14 @@ def _parts(word: Column, end: Column, base: Column) -> Column:
 
 
 def _judged(word: Column, base: Column) -> Column:
-    """The candidates in a word with their votes and forms: itself, or its parts if it is long."""
+    """The candidates in a word with their votes and forms: itself, or its parts if it is long or base spans meet it."""
     end = word["start"] + F.char_length(word["text"])
     short = F.char_length(word["text"]) <= SEEN
 
     def judged(spans):
         covered = F.size(spans) > 0
         whole = F.when(short, F.array(_voted(word, covered))).otherwise(F.array())
-        return F.concat(whole, F.when(short, F.array()).otherwise(_parts(word, end, spans)))
+        return F.concat(whole, F.when(short & ~covered, F.array()).otherwise(_parts(word, end, spans)))
 
     return let(_overlapping(base, word["start"], end), judged)
 
@@ -304,8 +304,8 @@ def annotate(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataF
     """`docs` with `base_spans` and `spans`, arrays of (kind, start, end) in code points, end exclusive.
 
     Both are sorted by kind as in KINDS (OTHER last), then start. `spans` holds the base spans and
-    each candidate that the model takes for personal data and that no base span covers. A word of
-    more than SEEN characters is judged by its parts outside base spans, each with its own place. Null and
+    each candidate that the model takes for personal data. A word that base spans meet, or of more
+    than SEEN characters, is judged by its parts outside them, each with its own place. Null and
     empty texts have none. Columns of these two names are replaced; all others stay as they are.
     """
     found = _candidates(docs, text_col)
