@@ -1,8 +1,9 @@
 """Near-duplicates by min-max hashing: each permutation gives its minimum and its maximum.
 
 A document is the set of its five-word shingles. `PERMUTATIONS` multiplications by odd numbers give
-twice as many signature values, banded by `ROWS`; a pair of similarity 0.85 shares no band with a
-probability of about 4e-7. What shares a band is confirmed on the full sets, as follows.
+twice as many signature values, in bands of as many rows as `percent` allows (`band_rows`): a pair of
+that similarity shares no band with a probability of at most `MISSED`. At 85 these are 25 bands of
+5 and 4e-7, at 80 they are 32 bands of 4 and 5e-8. What shares a band is confirmed on the full sets, as follows.
 
 * Documents with equal sets are one class from the start, so copies cost nothing further.
 * Of each bucket all members are compared with its smallest. Most groups are one component then.
@@ -28,19 +29,18 @@ from perennia.llm.tokens import kept, slices
 
 SHINGLE = 5
 PERMUTATIONS = 64
-ROWS = 5
-BANDS = 2 * PERMUTATIONS // ROWS
+MISSED = 1e-6
+MOST_ROWS = 8
 BLOCK = 512
-#: Pairs whose signatures agree in fewer places are not compared: of 128 places a pair at 0.85
-#: agrees in 109 on average, with a standard deviation of 4.
-LEAST_AGREEING = 80
+#: Pairs whose signatures agree in so many standard deviations less than pairs at `percent` do are not compared.
+DEVIATIONS = 7
 #: Words whose hashes a task remembers, and hashes mixed at once.
 REMEMBERED, AT_ONCE = 300_000, 4096
 
 _RANDOM = np.random.Generator(np.random.PCG64(20_240_229))
 _MULTIPLIERS = _RANDOM.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND = _RANDOM.integers(0, 2**63, (1, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND_SALT = _RANDOM.integers(0, 2**63, BANDS, dtype=np.uint64)
+_BAND = _RANDOM.integers(0, 2**63, (1, MOST_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND_SALT = _RANDOM.integers(0, 2**63, 2 * PERMUTATIONS, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,15 +87,25 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate([low, high])
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
-    """One number for each band; bands differ in their salt."""
-    rows = values[: BANDS * ROWS].reshape(BANDS, ROWS)
-    keys = ((rows ^ (rows >> np.uint64(32))) * _BAND).sum(axis=1, dtype=np.uint64) + _BAND_SALT
+def band_rows(percent: int) -> int:
+    """The most rows of a band with which at most MISSED of the pairs at `percent` share no band; one if none do."""
+    def missed(rows: int) -> float:
+        return (1 - (percent / 100) ** rows) ** (2 * PERMUTATIONS // rows)
+
+    return max([rows for rows in range(1, MOST_ROWS + 1) if missed(rows) <= MISSED], default=1)
+
+
+def band_keys(values: np.ndarray, width: int) -> np.ndarray:
+    """One number for each band of `width` rows; bands differ in their salt."""
+    bands = 2 * PERMUTATIONS // width
+    rows = values[: bands * width].reshape(bands, width)
+    keys = ((rows ^ (rows >> np.uint64(32))) * _BAND[:, :width]).sum(axis=1, dtype=np.uint64) + _BAND_SALT[:bands]
     return (keys ^ (keys >> np.uint64(29))).view(np.int64)
 
 
-def sign(docs: DataFrame) -> DataFrame:
+def sign(docs: DataFrame, percent: int) -> DataFrame:
     """(id, n_shingles, digest of the set, band keys) of (id, text)."""
+    width = band_rows(percent)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = kept(("shingles",), Shingler)
@@ -106,7 +116,7 @@ def sign(docs: DataFrame) -> DataFrame:
                     shingles = shingler.shingles(text)
                     sizes.append(len(shingles))
                     digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
-                    bands.append(band_keys(signature(shingles)) if len(shingles) else [])
+                    bands.append(band_keys(signature(shingles), width) if len(shingles) else [])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                     ["id", "n_shingles", "digest", "bands"],
@@ -151,6 +161,13 @@ def _root(parents: dict[int, int], x: int) -> int:
     return x
 
 
+def least_agreeing(percent: int) -> int:
+    """Of 128 places a pair at 85 agrees in 109 on average, with a standard deviation of 4; 80 is the least then."""
+    share = percent / 100
+    spread = (2 * PERMUTATIONS * share * (1 - share)) ** 0.5
+    return max(0, int(2 * PERMUTATIONS * share - DEVIATIONS * spread))
+
+
 def linked_block(ids: list[int], groups: list[int], sides: list[int], texts: list[str], percent: int) -> list[tuple[int, int]]:
     """Links that connect different groups, among members of one side or from side 0 to side 1.
 
@@ -164,12 +181,12 @@ def linked_block(ids: list[int], groups: list[int], sides: list[int], texts: lis
     whole = not len(columns)
     columns = rows if whole else columns
     label = np.array(groups)
-    found = []
+    found, least = [], least_agreeing(percent)
     for i in rows:
         others = columns[columns > i] if whole else columns
         others = others[label[others] != label[i]]
         agreeing = (values[others] == values[i]).sum(axis=1)
-        found += [(-int(n), int(i), int(j)) for n, j in zip(agreeing, others) if n >= LEAST_AGREEING]
+        found += [(-int(n), int(i), int(j)) for n, j in zip(agreeing, others) if n >= least]
     parents: dict[int, int] = {}
     links = []
     for _, i, j in sorted(found):
@@ -221,7 +238,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     columns are not looked at; an empty table stays empty. Ids are integers.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), filled(F.col(text_col)).alias("text"))
-    signed = cut(sign(rows))
+    signed = cut(sign(rows, percent))
     classes = (
         signed.where("digest is not null and id is not null")
         .groupBy("digest")

@@ -122,3 +122,21 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert got(op5_minhash(spark, folder)) == brute(rows)
+
+
+def test_blocks_and_bands_follow_percent(spark):
+    """Pairs a little above 60 or 80 are found, in a block and by the bands."""
+    rng = random.Random(9)
+    for percent, changed in ((60, 46), (80, 20)):
+        rows = []
+        for g in range(40):
+            base = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+            # A run of changed words costs as many shingles and four.
+            rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(base[: -changed] + [f"x{rng.randrange(10**6)}" for _ in range(changed)]))]
+        want = {i: c for i, (_, c, _) in brute(rows, percent).items()}
+        assert all(want[i] == i - i % 2 for i in want)
+        links = minhash.linked_block([i for i, _ in rows], [i for i, _ in rows], [0] * len(rows), [t for _, t in rows], percent)
+        assert sorted(sorted(x) for x in links) == [[2 * g, 2 * g + 1] for g in range(40)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        assert got(near_duplicates(docs, percent)) == brute(rows, percent)
+    assert [minhash.band_rows(p) for p in (60, 80, 85)] == [2, 4, 5] and minhash.least_agreeing(85) == 80
