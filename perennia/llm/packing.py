@@ -155,7 +155,8 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), id_col: str = "doc_
     """
     pieces = cut(pieces)
     groups = pieces.count() // GROUP + 1
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64(id_col, "piece", "start"), F.lit(groups)))
+    # By the place in the stored pieces, which is fixed: rows that share an id are spread as well.
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
     def placed(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy()

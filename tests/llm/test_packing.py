@@ -107,3 +107,11 @@ def test_query(spark):
         assert at <= 2048
     assert len(by_sequence) <= -(-total // 2048) * 1.02 + 1
     assert packing.GROUP > 1000
+
+
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    docs = spark.createDataFrame([(None, "a"), (7, "b")] * 300, "doc_id long, text string")
+    rows = pack(document_pieces(docs, PATH)).collect()
+    groups = [r["sequence_id"] >> 32 for r in rows]
+    assert len(rows) == 600 and max(groups.count(g) for g in set(groups)) <= 100
