@@ -518,14 +518,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
-    """Queries and SQL of the subpackage `llm` and the corpus pipeline, if they are there."""
+    """Queries and SQL of the subpackage `llm` and the corpus pipeline, if they can be imported."""
     try:
         import corpus_pipeline
         from perennia.llm.oracles import ORACLES as sql
         from perennia.llm.queries import QUERIES as found
-    except ModuleNotFoundError as error:
-        if error.name not in ("corpus_pipeline", "perennia.llm", "perennia.llm.oracles", "perennia.llm.queries"):
-            raise
+    except ImportError:
         return {}, {}
     pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return {**found, "pipeline": corpus_pipeline.run}, {**sql, **pipeline_sql}
