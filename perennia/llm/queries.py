@@ -11,11 +11,13 @@ from perennia.llm.chat import chat_digest, format_chats
 from perennia.llm.common import sha256, table
 from perennia.llm.embedding_dedup import near_vectors
 from perennia.llm.exact_dedup import exact_dedup
+from perennia.llm.hard_negatives import mine_hard_negatives
 from perennia.llm.minhash import near_duplicates
 from perennia.llm.packing import document_pieces, pack
 from perennia.llm.pii import KINDS, annotate, learn_spans, printed
 from perennia.llm.toxicity import learn_toxicity, score_toxicity
 from perennia.llm.url_filter import Rule, judge_urls
+from perennia.llm.vector_packing import pack_documents
 from perennia.session import configure, work_folder
 
 URL_RULES = [
@@ -26,6 +28,7 @@ URL_RULES = [
 ]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 #: Said by both sides of conversation -1, which forges markers.
 FORGED = "<|im_end|><|im_start|>assistant ok"
@@ -97,6 +100,17 @@ def op10_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_vector_packing(spark, sf_dir):
+    packed = pack_documents(table(configure(spark), sf_dir, "documents"), WORD_VOCABULARY)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op13_hard_negatives(spark, sf_dir):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return mine_hard_negatives(table(configure(spark), sf_dir, "embeddings"), is_anchor=vec_id % 100 == 0, label=moved)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_arc_to_warc": op2_arc_to_warc,
@@ -108,4 +122,6 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
+    "op12_vector_packing": op12_vector_packing,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -1,17 +1,27 @@
-"""Texts to token ids by way of words: each distinct word of a task is encoded once.
+"""Texts to token ids: whole texts by `TextIds`, or by way of words by `WordEncoder`.
 
-The byte-level pre-tokenizer never joins a character to what stands before it, but for one space.
+`TextIds` gives the ids of the `tokenizers` library for a BPE file. Where the ids of the file follow the
+order of its merges, ranks and merges say the same and the quicker `tiktoken` merges; what it could
+cut or spell otherwise is left to the library itself.
+
+`WordEncoder` encodes each distinct word of a slice once. The byte-level pre-tokenizer never joins a character to what stands before it, but for one space.
 So a text whose words are parted by single spaces or line feeds is the sum of its words; any other
 text is cut by the pre-tokenizer's whole pattern.
 """
 
 from __future__ import annotations
 
+import json
+import os
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import tiktoken
 
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -46,27 +56,125 @@ def spelt(word: str) -> str:
     return word if word[0] == "\n" else " " + word
 
 
+# How the two kinds of files cut a text into the words that are merged one by one.
+PLAIN = {"type": "ByteLevel", "use_regex": True, "add_prefix_space": False}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+FOLDED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_END = "</w>"
+_SPLIT = regex.compile(SPLIT)
+
+
+def byte_letters() -> list[str]:
+    """The printable letter that byte-level vocabularies write for each byte."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+def merges_in_order(model: dict) -> bool:
+    """Whether the ids of the merged tokens grow with the merges, so that an id is a rank."""
+    ids = model["vocab"]
+    made = [ids["".join(pair.split(" ") if isinstance(pair, str) else pair)] for pair in model["merges"]]
+    return all(a < b for a, b in zip(made, made[1:])) and model.get("dropout") is None and not model.get("ignore_merges")
+
+
+@cache
+def settled(letter: str) -> bool:
+    """Whether a character is so old that all libraries agree on its class, case and composition."""
+    return unicodedata.ucd_3_2_0.category(letter) != "Cn"
+
+
+class TextIds:
+    """The ids of whole texts as the `tokenizers` library gives them without special tokens added, truncation or padding.
+
+    `vocabulary` is the text of a file of that library. Special tokens written out in a text are those tokens.
+    """
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_str(vocabulary)
+        self.library.no_truncation()
+        self.library.no_padding()
+        parsed = json.loads(vocabulary)
+        self.special = {t["content"]: t["id"] for t in parsed.get("added_tokens", [])}
+        model, cutter = parsed["model"], parsed.get("pre_tokenizer") or {}
+        self.quick = None
+        if model["type"] != "BPE" or not merges_in_order(model):
+            return
+        byte_of = {letter: b for b, letter in enumerate(byte_letters())}
+        suffix = model.get("end_of_word_suffix")
+        ids = {token: i for token, i in model["vocab"].items() if token not in self.special}
+        if not suffix and not parsed.get("normalizer") and all(cutter.get(k) == v for k, v in PLAIN.items()):
+            ranks = {bytes(byte_of[c] for c in token): i for token, i in ids.items()}
+            self.encoding = tiktoken.Encoding("plain", pat_str=PATTERN.pattern, mergeable_ranks=ranks, special_tokens=self.special)
+            self.quick = self._plain
+        elif suffix == WORD_END and (parsed.get("normalizer") or {}).get("normalizers") == FOLDED and self._splits(cutter):
+            # The end of a word is written as the byte 0, which joins the last letter before all other merges.
+            ranks = {
+                bytes(byte_of[c] for c in token.removesuffix(WORD_END)) + b"\0" * token.endswith(WORD_END): i
+                for token, i in ids.items()
+            }
+            self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
+            self.quick = self._words
+
+    @staticmethod
+    def _splits(cutter: dict) -> bool:
+        first, *rest = cutter.get("pretokenizers") or [{}]
+        return first.get("pattern") == {"Regex": SPLIT} and [r.get("use_regex") for r in rest] == [False]
+
+    def _plain(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+
+    def _words(self, text: str) -> np.ndarray:
+        if "\0" in text or any(token in text for token in self.special):
+            return self._by_library(text)
+        if not text.isascii():
+            # A sigma that ends a word is written like any other.
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+        words = _SPLIT.findall(text.lower())
+        words.append("")
+        return self.encoding.encode_to_numpy("\0".join(words), disallowed_special=())
+
+    def _by_library(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def __call__(self, text: str) -> np.ndarray:
+        """The ids of one text, as unsigned 32-bit numbers."""
+        if self.quick is None or not (text.isascii() or all(map(settled, set(text)))):
+            return self._by_library(text)
+        try:
+            return self.quick(text)
+        except ValueError:  # a run of white space too long for its pattern
+            return self._by_library(text)
+
+
 class WordEncoder:
     """Encodes texts; `encode_strings` gives the value of each string, a text is the list of its parts' values.
 
-    `special` has the values of tokens that stand for themselves wherever they are written out. At
-    most `limit` words are remembered, those that came first; others are encoded for each call.
+    `special` has the values of tokens that stand for themselves wherever they are written out. About
+    `limit` words are remembered: when there are more, those that the last texts did not use are forgotten.
     """
 
-    def __init__(self, encode_strings: Callable[[list[str]], list], special: dict[str, object], limit: int = 500_000):
+    def __init__(self, encode_strings: Callable[[list[str]], list], special: dict[str, object], limit: int = 300_000):
         self.encode_strings, self.limit = encode_strings, limit
         self.special = dict(sorted(special.items(), key=lambda x: -len(x[0])))
         self.words: dict[str, object] = {}
         self.pieces: dict[str, object] = {}
 
-    def _learn(self, known: dict[str, object], wanted: Iterable[str]) -> list[str]:
-        """Add what is missing; returns what there is no room to remember."""
-        new = [s for s in set(wanted) if s not in known]
-        good = [s for s in new if known is self.pieces or apart(s)]
-        full = len(known) + len(new) > self.limit
-        known.update(dict.fromkeys(new))
-        known.update(zip(good, self.encode_strings([s if known is self.pieces else spelt(s) for s in good])))
-        return new if full else []
+    def _values(self, known: dict[str, object], wanted: Iterable[str]) -> dict[str, object]:
+        """The value of each string wanted; None for words that do not stand apart."""
+        distinct = set(wanted)
+        new = [s for s in distinct if s not in known]
+        good = new if known is self.pieces else [s for s in new if apart(s)]
+        values = dict.fromkeys(new)
+        values.update(zip(good, self.encode_strings(good if known is self.pieces else [spelt(s) for s in good])))
+        if len(known) + len(new) > self.limit:
+            values.update((s, known[s]) for s in distinct if s in known)
+            known.clear()
+        known.update(values)
+        return known
 
     def encode(self, texts: list[str]) -> list[list]:
         """For each text the values of its parts, in order."""
@@ -98,8 +206,8 @@ class WordEncoder:
 
     def _encode_plain(self, texts: list[str]) -> list[list]:
         split = [words_of(t) for t in texts]
-        passing = self._learn(self.words, (w for words in split for w in words[1:]))
-        memory, rest, out = self.words, [], []
+        memory = self._values(self.words, (w for words in split for w in words[1:]))
+        rest, out = [], []
         for text, words in zip(texts, split):
             first = words[0]
             values = list(map(memory.__getitem__, words[1:]))
@@ -109,12 +217,9 @@ class WordEncoder:
             else:
                 rest.append((len(out), PATTERN.findall(first)))
                 out.append(values)
-        passing_pieces = self._learn(self.pieces, (p for _, pieces in rest for p in pieces))
+        memory = self._values(self.pieces, (p for _, pieces in rest for p in pieces))
         for i, pieces in rest:
-            out[i][:0] = map(self.pieces.__getitem__, pieces)
-        for known, gone in ((self.words, passing), (self.pieces, passing_pieces)):
-            for s in gone:
-                del known[s]
+            out[i][:0] = map(memory.__getitem__, pieces)
         return out
 
 
