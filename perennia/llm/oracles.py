@@ -120,6 +120,57 @@ SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id
 FROM s JOIN c ON c.node = s.doc_id
 """
 
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a text of digits: each digit is the half bytes (digit, 3)."""
+    halves = []
+    for half in range(16):
+        for _ in range(4):
+            half = (half >> 1) ^ (0xEDB88320 if half & 1 else 0)
+        halves.append(half)
+    nibbles = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(c AS BIGINT), 3]))"
+    step = f"xor(crc >> 4, CAST(({halves})[(xor(crc, n) & 15) + 1] AS BIGINT))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {nibbles}), lambda crc, n: {step}), CAST(4294967295 AS BIGINT))"
+
+
+# The digest that orders turns of one number is that of the operator; such turns are not in the given tables.
+OP11 = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM said
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM said)
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS part, n.place, role, text FROM convs c JOIN numbered n ON n.conv_id = c.base AND n.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, n.place, role, text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.place > c.h
+), turns AS (
+  SELECT conv_id, row_number() OVER o AS depth, text,
+    sha256(string_agg(length(role) || ':' || length(text) || ':' || role || text, '' ) OVER (o ROWS UNBOUNDED PRECEDING)) AS key
+  FROM rebuilt WINDOW o AS (PARTITION BY conv_id ORDER BY part, place)
+), prefixes AS (
+  SELECT conv_id, depth, key, text, lag(key, 1, 'root') OVER (PARTITION BY conv_id ORDER BY depth) AS above FROM turns
+  UNION ALL SELECT conv_id, 0, 'root', '', NULL FROM convs
+), sizes AS (SELECT conv_id, max(depth) AS size FROM prefixes GROUP BY conv_id),
+nodes AS (
+  SELECT depth, key, min(p.conv_id) AS conv_id, any_value(above) AS above, count(*) AS n_convs,
+    (count(*) - 1) * len(list_filter(string_split_regex(any_value(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS saved,
+    sha256(coalesce(string_agg(CASE WHEN size = depth THEN CAST(p.conv_id AS VARCHAR) END, ',' ORDER BY p.conv_id), '')) AS ends_sha256
+  FROM prefixes p JOIN sizes s ON s.conv_id = p.conv_id GROUP BY depth, key
+), children AS (SELECT depth - 1 AS depth, above AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+whole AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.key = n.key),
+subtree AS (
+  SELECT p.depth, p.key, w.key AS lower, w.depth AS lower_depth, any_value(w.saved) AS saved, any_value(w.n_children) AS n_children
+  FROM whole w JOIN prefixes own ON own.conv_id = w.conv_id AND own.depth = w.depth AND own.key = w.key
+  JOIN prefixes p ON p.conv_id = w.conv_id AND p.depth <= w.depth GROUP BY ALL
+), totals AS (
+  SELECT depth, key, CAST(sum(saved) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves FROM subtree GROUP BY ALL
+)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_children, t.n_leaves, t.saved_tokens, w.ends_sha256
+FROM whole w JOIN totals t ON t.depth = w.depth AND t.key = w.key
+LEFT JOIN nodes a ON a.depth = w.depth - 1 AND a.key = w.above
+"""
+
 OP13 = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -151,5 +202,6 @@ ORACLES = {
     "op5_minhash": OP5,
     "op6_exact_dedup": OP6,
     "op10_url_filter": OP10,
+    "op11_prefix_trie": OP11,
     "op13_hard_negatives": OP13,
 }

@@ -15,6 +15,7 @@ from perennia.llm.hard_negatives import mine_hard_negatives
 from perennia.llm.minhash import near_duplicates
 from perennia.llm.packing import document_pieces, pack
 from perennia.llm.pii import KINDS, annotate, learn_spans, printed
+from perennia.llm.prefix_trie import prefix_trie
 from perennia.llm.toxicity import learn_toxicity, score_toxicity
 from perennia.llm.url_filter import Rule, judge_urls
 from perennia.llm.vector_packing import pack_documents
@@ -100,6 +101,10 @@ def op10_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie(table(configure(spark), sf_dir, "conversations"))
+
+
 def op12_vector_packing(spark, sf_dir):
     packed = pack_documents(table(configure(spark), sf_dir, "documents"), WORD_VOCABULARY)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -122,6 +127,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_vector_packing": op12_vector_packing,
     "op13_hard_negatives": op13_hard_negatives,
 }
