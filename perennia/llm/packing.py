@@ -10,7 +10,6 @@ the piece).
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perennia.llm.common import cut, filled
-from perennia.llm.tokens import WordEncoder, kept, slices
+from perennia.llm.tokens import TextIds, kept, slices
 
 GROUP = 32_768
 
@@ -86,21 +85,6 @@ def pack_group(
     return bins, offsets
 
 
-def _library_encoder(vocabulary: str) -> WordEncoder:
-    """Words to their ids as bytes by the library."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_str(vocabulary)
-
-    def encode(strings: list[str]) -> list[bytes]:
-        found = library.encode_batch_fast(strings, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    special = {t.content: np.array([i], "<u4").tobytes() for i, t in library.get_added_tokens_decoder().items()}
-    return WordEncoder(encode, special)
-
-
 def document_pieces(
     docs: DataFrame,
     vocabulary_path: str,
@@ -113,7 +97,7 @@ def document_pieces(
     """The pieces of every document: id, piece, start, length, ids_crc32, and `ids` if asked for.
 
     A document is the ids of its text, special tokens in it included, then the id `end`; a null text
-    is an empty one. Every distinct word of a task goes through the library once.
+    is an empty one.
     """
     with open(vocabulary_path, encoding="utf-8") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -122,13 +106,13 @@ def document_pieces(
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = vocabulary.value
-        encoder = kept(("packing", zlib.crc32(text.encode())), lambda: _library_encoder(text))
+        encode = kept(("packing", zlib.crc32(text.encode())), lambda: TextIds(text))
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
             for part in slices(batch):
                 out = [[] for _ in columns]
-                for row, values in enumerate(encoder.encode(part.column(1).to_pylist())):
-                    data = memoryview(b"".join(values) + last)
+                for row, words in enumerate(part.column(1).to_pylist()):
+                    data = memoryview(encode(words).tobytes() + last)
                     start = 0
                     for piece, length in enumerate(piece_lengths(len(data) // 4, most)):
                         ids = data[4 * start : 4 * (start + length)]
