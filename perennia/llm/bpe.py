@@ -16,33 +16,24 @@ import json
 import mmap
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perennia.llm.common import cut, filled
-from perennia.llm.tokens import PATTERN, WordEncoder, apart, kept, slices, spelt, words_of
+from perennia.llm.tokens import PATTERN, WordEncoder, byte_letters, kept, merges_in_order, slices
 from perennia.session import work_folder
 
 #: Words longer than this are never put into the lexicon.
 LONGEST = 64
-#: Distinct words a task counts before it passes the counts on.
-COUNTED = 400_000
-#: Words that a worker remembers.
-REMEMBERED = 800_000
-
-
-def byte_letters() -> list[str]:
-    """The printable letter that byte-level vocabularies write for each byte."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+#: What is counted for the lexicon: words, numbers and signs, with the space before them.
+COUNTED = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 
 
 #: Ranks after every merge.
@@ -64,6 +55,17 @@ class Vocabulary:
         for rank, pair in enumerate(parsed["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[ids[a], ids[b]] = (rank, ids[a + b])
+        self.quick = None
+        if merges_in_order(parsed["model"]):
+            ranks = {data: i for i, data in self.bytes_of.items() if i not in self.special.values()}
+            # The whole of what it is given is one word.
+            self.quick = tiktoken.Encoding("word", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each of these pre-tokenized words."""
+        if self.quick is None:
+            return list(map(self.merge, words))
+        return [self.quick.encode_ordinary(word.decode()) for word in words]
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-tokenized word: the pair of lowest rank is merged first, from the left."""
@@ -212,30 +214,9 @@ def mapped(path: str) -> Transducer:
 
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all documents: pre-tokenized words of at most LONGEST bytes, as binary."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def passed_on() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for word, n in seen.items():
-                for piece in PATTERN.findall(spelt(word)) if apart(word) else ():
-                    words[piece] += n
-            kept = [(w, n) for s, n in words.items() if len(w := s.encode()) <= LONGEST]
-            seen.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"]
-            )
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(words_of(text)[1:])
-                if len(seen) > COUNTED:
-                    yield passed_on()
-        yield passed_on()
-
-    rows = docs.select(filled(F.col(text_col)).alias("text")).mapInArrow(counted, "word binary, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+    words = docs.select(F.explode(F.regexp_extract_all(filled(F.col(text_col)), F.lit(COUNTED), F.lit(0))).alias("word"))
+    counted = words.where(F.octet_length("word") <= LONGEST).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.encode("word", "UTF-8").alias("word"), "n")
 
 
 def build_lexicon(docs: DataFrame, vocabulary: str, size: int = 200_000, text_col: str = "text") -> str:
@@ -254,9 +235,8 @@ def build_lexicon(docs: DataFrame, vocabulary: str, size: int = 200_000, text_co
             break
         least = row["level"]
     frequent = counted.where(level >= least).select("word").collect() if least is not None else []
-    merge = Vocabulary(vocabulary).merge
     words = sorted(bytes(r["word"]) for r in frequent)
-    return share(docs.sparkSession, packed(compile_words([(w, merge(w)) for w in words])))
+    return share(docs.sparkSession, packed(compile_words(list(zip(words, Vocabulary(vocabulary).merge_all(words))))))
 
 
 def share(spark: SparkSession, content: bytes) -> str:
@@ -285,7 +265,7 @@ class BpeEncoder:
         self.vocabulary, self.lexicon = Vocabulary(vocabulary), lexicon
         self.names = {i: str(i) for i in self.vocabulary.bytes_of}
         special = {t: self._word([i]) for t, i in self.vocabulary.special.items()}
-        self.encoder = WordEncoder(self._encode_strings, special, REMEMBERED)
+        self.encoder = WordEncoder(self._encode_strings, special)
 
     def _word(self, ids: list[int]) -> Word:
         return Word(",".join(map(self.names.__getitem__, ids)), b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)))
@@ -293,10 +273,14 @@ class BpeEncoder:
     def _encode_strings(self, strings: list[str]) -> list[Word]:
         pieces = [[p.encode() for p in PATTERN.findall(s)] for s in strings]
         distinct = list({p for ps in pieces for p in ps})
-        offsets, table, merge = self.lexicon.offsets, self.lexicon.ids, self.vocabulary.merge
-        ids = {}
+        offsets, table = self.lexicon.offsets, self.lexicon.ids
+        ids, unseen = {}, []
         for piece, place in zip(distinct, self.lexicon.places(distinct).tolist()):
-            ids[piece] = table[offsets[place] : offsets[place + 1]].tolist() if place >= 0 else merge(piece)
+            if place >= 0:
+                ids[piece] = table[offsets[place] : offsets[place + 1]].tolist()
+            else:
+                unseen.append(piece)
+        ids.update(zip(unseen, self.vocabulary.merge_all(unseen)))
         return [self._word(ids[ps[0]] if len(ps) == 1 else [i for p in ps for i in ids[p]]) for ps in pieces]
 
     def words(self, texts: list[str]) -> list[list[Word]]:
