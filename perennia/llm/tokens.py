@@ -4,7 +4,8 @@
 order of its merges, ranks and merges say the same and the quicker `tiktoken` merges; what it could
 cut or spell otherwise is left to the library itself.
 
-`WordEncoder` encodes each distinct word of a slice once. The byte-level pre-tokenizer never joins a character to what stands before it, but for one space.
+`WordEncoder` encodes each distinct word of a slice once. The byte-level pre-tokenizer never joins a
+character to what stands before it, but for one space.
 So a text whose words are parted by single spaces or line feeds is the sum of its words; any other
 text is cut by the pre-tokenizer's whole pattern.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
@@ -61,7 +63,29 @@ PLAIN = {"type": "ByteLevel", "use_regex": True, "add_prefix_space": False}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 FOLDED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 WORD_END = "</w>"
-_SPLIT = regex.compile(SPLIT)
+# White space as the library has it.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def ranges(kind: str) -> str:
+    """The characters up to U+FFFF whose class begins with `kind`, as ranges of a pattern."""
+    found: list[list[int]] = []
+    for code in range(0x10000):
+        if unicodedata.category(chr(code))[0] == kind:
+            if found and found[-1][1] == code - 1:
+                found[-1][1] = code
+            else:
+                found.append([code, code])
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in found)
+
+
+def split_pattern() -> re.Pattern:
+    """SPLIT for characters up to U+FFFF: so stated, the built-in module is quicker than one that knows classes by name."""
+    letter, number = ranges("L"), ranges("N")
+    return re.compile(f"[{letter}]+|'(?:[stmd]|re|ve|ll)|[{number}]|[^{SPACE}{letter}{number}]+")
+
+
+_WORDS = split_pattern()
 
 
 def byte_letters() -> list[str]:
@@ -80,8 +104,8 @@ def merges_in_order(model: dict) -> bool:
 
 @cache
 def settled(letter: str) -> bool:
-    """Whether a character is so old that all libraries agree on its class, case and composition."""
-    return unicodedata.ucd_3_2_0.category(letter) != "Cn"
+    """Whether a character is so old that all libraries agree on its class, case and composition, and not above U+FFFF."""
+    return letter < "\U00010000" and unicodedata.ucd_3_2_0.category(letter) != "Cn"
 
 
 class TextIds:
@@ -133,7 +157,7 @@ class TextIds:
         if not text.isascii():
             # A sigma that ends a word is written like any other.
             text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
-        words = _SPLIT.findall(text.lower())
+        words = _WORDS.findall(text.lower())
         words.append("")
         return self.encoding.encode_to_numpy("\0".join(words), disallowed_special=())
 
