@@ -78,6 +78,24 @@ def read_events(spark: SparkSession, path: str | list[str], glob: str = "*") ->
     return explode_arrays(files.select("value", F.col("_metadata.file_path").alias("file")))
 
 
+def _body(line: Column) -> Column:
+    """A line without the bracket before its events and the comma and bracket behind them.
+
+    Nearly all lines are one event, with or without a comma, and need no pattern.
+    """
+    open_ = F.regexp_replace(line, r"^\s*\[?\s*", "")
+    bare = F.rtrim(open_, F.lit(" \t\n\x0b\f\r,]"))
+    behind = F.substring(open_, F.char_length(bare) + 1, F.lit(1 << 30))
+    # More than one bracket, or a comma too many, is left for the parser to refuse.
+    other = F.when(behind.rlike(r"^\s*,?\s*\]?\s*,?\s*$"), bare).otherwise(open_)
+    starts = line.startswith("{")
+    return (
+        F.when(starts & line.endswith("}"), line)
+        .when(starts & line.endswith("},"), F.substring(line, F.lit(1), F.char_length(line) - 1))
+        .otherwise(other)
+    )
+
+
 def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
     """One or more whole events per line; splittable at any size.
 
@@ -97,9 +115,7 @@ def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*"
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    body = F.regexp_replace(F.regexp_replace("value", r"^\s*\[?\s*", ""), r"\s*,?\s*\]?\s*,?\s*$", "")
-    wanted = lines.withColumn("body", body).where("body <> ''")
-    parsed = wanted.select("file", "block", "line", "value", _parsed(F.col("body"), T.ArrayType(RAW)).alias("parsed"))
+    parsed = lines.select("file", "block", "line", "value", _parsed(_body(F.col("value")), T.ArrayType(RAW)).alias("parsed"))
     bad = F.col(f"parsed.{CORRUPT_COLUMN}").isNotNull() | F.col("parsed.events").isNull()
     rows = parsed.select(
         "file",
@@ -108,7 +124,9 @@ def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*"
         F.when(bad, F.col("value")).alias(CORRUPT_COLUMN),
         F.posexplode_outer(F.when(~bad, F.col("parsed.events"))).alias("item", "event"),
     )
-    flat = rows.select("file", "block", "line", "item", CORRUPT_COLUMN, "event.*")
+    # Lines of brackets or white space have neither. A filter on the generated rows stays behind the parser.
+    some = rows.where(F.col("item").isNotNull() | F.col(CORRUPT_COLUMN).isNotNull())
+    flat = some.select("file", "block", "line", "item", CORRUPT_COLUMN, "event.*")
     place = _seq(F.col("file"), F.col("block"), F.col("line"), F.coalesce("item", F.lit(0)))
     return typed(flat.withColumn("seq", place).drop("file", "block", "line", "item"))
 
