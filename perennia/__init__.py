@@ -8,6 +8,7 @@ from perennia.plans.ltv import ltv, ltv_timeframe, result_columns
 from perennia.plans.ltv_sql import ltv_sql
 from perennia.plans.ltv_touch import touch_ltv
 from perennia.session import configure, local_session
+from perennia.sources.array_scan import read_event_arrays
 from perennia.sources.event_log import read_event_log, union_logs, write_event_log
 from perennia.sources.json_events import read_event_lines, read_events, stream_events
 
@@ -24,6 +25,7 @@ __all__ = [
     "ltv",
     "ltv_sql",
     "ltv_timeframe",
+    "read_event_arrays",
     "read_event_lines",
     "read_event_log",
     "read_events",

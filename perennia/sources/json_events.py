@@ -16,7 +16,7 @@ from perennia.functions.times import event_date, event_timestamp
 from perennia.schema import CORRUPT_COLUMN, RAW, RAW_FIELDS
 
 
-def _seq(file: Column, block: Column, pos: Column, item: Column) -> Column:
+def position(file: Column, block: Column, pos: Column, item: Column) -> Column:
     return F.struct(
         F.col("event_time").alias("event_time"),
         file.alias("file"),
@@ -37,7 +37,7 @@ def typed(raw: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(json: Column, kind: T.DataType) -> Column:
+def parsed_array(json: Column, kind: T.DataType) -> Column:
     """Struct (events, corrupt record) of `json` as the value of one field: whatever follows the
     value, or is missing from it, makes the whole corrupt."""
     schema = T.StructType([T.StructField("events", kind), T.StructField(CORRUPT_COLUMN, T.StringType())])
@@ -51,7 +51,7 @@ def explode_arrays(files: DataFrame) -> DataFrame:
     A file that is not exactly one JSON array, however laid out over lines, gives one row that
     carries its text as corrupt record, and none of its events; a file of no bytes gives none at all.
     """
-    parsed = files.select("file", "value", _parsed(F.col("value"), T.ArrayType(T.ArrayType(RAW))).alias("parsed"))
+    parsed = files.select("file", "value", parsed_array(F.col("value"), T.ArrayType(T.ArrayType(RAW))).alias("parsed"))
     good = F.col(f"parsed.{CORRUPT_COLUMN}").isNull() & (F.size("parsed.events") == 1) & F.get("parsed.events", F.lit(0)).isNotNull()
     events = parsed.select(
         "file",
@@ -63,7 +63,7 @@ def explode_arrays(files: DataFrame) -> DataFrame:
     )
     flat = rows.select("file", "pos", CORRUPT_COLUMN, *[F.col(f"event.{name}") for name in RAW_FIELDS])
     zero = F.lit(0)
-    ordered = flat.withColumn("seq", _seq(F.col("file"), zero, F.coalesce("pos", zero), zero))
+    ordered = flat.withColumn("seq", position(F.col("file"), zero, F.coalesce("pos", zero), zero))
     return typed(ordered.drop("file", "pos"))
 
 
@@ -115,7 +115,7 @@ def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*"
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    parsed = lines.select("file", "block", "line", "value", _parsed(_body(F.col("value")), T.ArrayType(RAW)).alias("parsed"))
+    parsed = lines.select("file", "block", "line", "value", parsed_array(_body(F.col("value")), T.ArrayType(RAW)).alias("parsed"))
     bad = F.col(f"parsed.{CORRUPT_COLUMN}").isNotNull() | F.col("parsed.events").isNull()
     rows = parsed.select(
         "file",
@@ -127,7 +127,7 @@ def read_event_lines(spark: SparkSession, path: str | list[str], glob: str = "*"
     # Lines of brackets or white space have neither. A filter on the generated rows stays behind the parser.
     some = rows.where(F.col("item").isNotNull() | F.col(CORRUPT_COLUMN).isNotNull())
     flat = some.select("file", "block", "line", "item", CORRUPT_COLUMN, "event.*")
-    place = _seq(F.col("file"), F.col("block"), F.col("line"), F.coalesce("item", F.lit(0)))
+    place = position(F.col("file"), F.col("block"), F.col("line"), F.coalesce("item", F.lit(0)))
     return typed(flat.withColumn("seq", place).drop("file", "block", "line", "item"))
 
 
