@@ -27,10 +27,13 @@ from perennia.plans.ingest import ingest, ingest_more, read_stored, stored_entit
 from perennia.plans.ltv import customer_metrics, ltv, ltv_timeframe, result_columns, score
 from perennia.plans.ltv_sql import ltv_sql
 from perennia.plans.ltv_touch import touch_ltv, touch_profiles
+from perennia.plans.store import store_entities, store_rejects, upsert
 from perennia.schema import ALL_TYPES, CUSTOMER, FACT_FIELDS, LTV_FIELDS, ORDER, SITE_VISIT
 from perennia.session import configure, work_folder
 from perennia.sinks import result_document
+from perennia.sources.array_scan import read_event_arrays
 from perennia.sources.event_log import read_event_log, union_logs, write_event_log
+from perennia.sources.inline import inline_relation
 from perennia.sources.json_events import from_json_lines, read_event_lines, read_events, stream_events, to_json_lines
 from perennia.sources.tables import entities_from_tables, event_log_from_tables, relations_from_orders
 from perennia.streaming import jobs
@@ -336,6 +339,22 @@ def ingested_twice_ltv(spark, sf_dir):
     return result_columns(ltv(stored_entities(spark, folder)))
 
 
+def _upserted(spark, sf_dir):
+    """The log added to a store in three parts, none of which is earlier than the others."""
+    folder = work_folder(spark, "store")
+    for part in (2, 0, 1):
+        upsert(_log(spark, sf_dir).where(f"seq % 3 = {part}"), folder, buckets=8)
+    return folder
+
+
+def upserted_ltv(spark, sf_dir):
+    return result_columns(ltv(store_entities(spark, _upserted(spark, sf_dir))))
+
+
+def upserted_rejects(spark, sf_dir):
+    return store_rejects(spark, _upserted(spark, sf_dir)).select("reason", "type", "key", "seq")
+
+
 def ingested_customers_only(spark, sf_dir):
     """A store that has no facts."""
     folder = work_folder(spark, "ingest")
@@ -374,6 +393,55 @@ def json_array_lines_ltv(spark, sf_dir):
     return result_columns(ltv(entities(read_event_lines(spark, _json_files(spark, sf_dir, True)), columns=LTV_FIELDS)))
 
 
+def _array_files(spark, sf_dir, extra=""):
+    """The whole log as files of one array on one line each, `extra` standing in the middle of each."""
+    folder = work_folder(spark, "arrays")
+    rows = to_json_lines(_timed(spark, sf_dir), "seq").groupBy(F.expr("seq div 2000").alias("part"))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("seq", "value"))), lambda r: r["value"])
+    half = F.floor(F.size("texts") / 2).cast("int")
+    with_extra = F.concat(F.slice("texts", F.lit(1), half), F.array(F.lit(extra)), F.slice("texts", half + 1, F.size("texts")))
+    array = F.array_join(with_extra if extra else F.col("texts"), ", ")
+    whole = rows.agg(texts.alias("texts")).select(F.concat(F.lit("["), array, F.lit("]")).alias("value"))
+    whole.write.option("maxRecordsPerFile", 1).text(folder)
+    return folder
+
+
+def json_split_arrays_ltv(spark, sf_dir):
+    """Arrays on one line each, read by byte ranges."""
+    return result_columns(ltv(entities(read_event_arrays(spark, _array_files(spark, sf_dir)), columns=LTV_FIELDS)))
+
+
+def json_salvaged_rejects(spark, sf_dir):
+    """One element of each array is no event; the others count."""
+    return reports.rejects_by_reason(read_event_arrays(spark, _array_files(spark, sf_dir, '{"type": }')))
+
+
+def json_with_empty_folder_ltv(spark, sf_dir):
+    """Array files, and beside them a folder that holds none."""
+    empty = work_folder(spark, "empty")
+    to_json_lines(_log(spark, sf_dir).where("false")).write.text(empty)
+    return result_columns(ltv(entities(read_events(spark, [_json_files(spark, sf_dir, True), empty]), columns=LTV_FIELDS)))
+
+
+def json_missing_fields(spark, sf_dir):
+    """Rejects of a log whose events lack a required field here and there."""
+    lacking = {"type": 37, "event_time": 31, "key": 23, "customer_id": 29, "verb": 41, "total_amount": 43}
+    log = _timed(spark, sf_dir)
+    holes = log.withColumns({name: F.when(F.col("seq") % n != 0, F.col(name)) for name, n in lacking.items()})
+    folder = work_folder(spark, "json")
+    to_json_lines(holes, "seq").select("value").write.text(folder)
+    return reports.rejects_by_reason(read_event_lines(spark, folder)).where("reason like 'MISSING%'")
+
+
+def events_by_inline_kind(spark, sf_dir):
+    """Events per kind, the kinds being a relation stated as rows, and all of them."""
+    kinds = [(CUSTOMER, "person"), (SITE_VISIT, "page"), ("IMAGE", "picture"), (ORDER, "sale")]
+    log = _log(spark, sf_dir)
+    named = log.join(inline_relation(spark, kinds, "type string, kind string"), "type")
+    counts = named.groupBy("kind").agg(F.count(F.lit(1)).alias("events"))
+    return union_logs(counts, log.agg(F.lit("all").alias("kind"), F.count(F.lit(1)).alias("events")))
+
+
 def json_lines_ltv(spark, sf_dir):
     return result_columns(ltv(entities(read_event_lines(spark, _json_files(spark, sf_dir, False)), columns=LTV_FIELDS)))
 
@@ -431,6 +499,18 @@ def stream_weekly_visits(spark, sf_dir):
     return jobs.read_weekly_visits(spark, out)
 
 
+def stream_late_visits(spark, sf_dir):
+    """Weekly visits when the earlier half of the events comes last, to a job that had finished."""
+    base = work_folder(spark, "late")
+    events = _table(spark, sf_dir, "events")
+    half = events.agg(F.percentile_approx("event_id", 0.5)).scalar()
+    for part in (F.col("event_id") > half, F.col("event_id") <= half):
+        events.where(part).write.mode("append").parquet(f"{base}/in")
+        log = event_log_from_tables(spark.readStream.schema(events.schema).parquet(f"{base}/in"))
+        jobs.stream_weekly_visits(log, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return jobs.read_weekly_visits(spark, f"{base}/out")
+
+
 def stream_first_seen(spark, sf_dir):
     out = _run_stream(spark, sf_dir, "first", jobs.stream_first_seen)
     return spark.read.parquet(out).select("type", "key")
@@ -489,16 +569,24 @@ _QUERIES: dict[str, Query] = {
     "ingested_rejects": ingested_rejects,
     "ingested_twice_ltv": ingested_twice_ltv,
     "ingested_customers_only": ingested_customers_only,
+    "upserted_ltv": upserted_ltv,
+    "upserted_rejects": upserted_rejects,
     "json_array_ltv": json_array_ltv,
     "json_array_lines_ltv": json_array_lines_ltv,
     "json_lines_ltv": json_lines_ltv,
     "json_array_rejects": json_array_rejects,
+    "json_split_arrays_ltv": json_split_arrays_ltv,
+    "json_salvaged_rejects": json_salvaged_rejects,
+    "json_with_empty_folder_ltv": json_with_empty_folder_ltv,
+    "json_missing_fields": json_missing_fields,
+    "events_by_inline_kind": events_by_inline_kind,
     "stream_json_ltv": stream_json_ltv,
     "event_log_by_type_verb": event_log_by_type_verb,
     "stream_state_equals_batch": stream_state_equals_batch,
     "stream_partials_ltv": stream_partials_ltv,
     "stream_ltv_top10": stream_ltv_top10,
     "stream_weekly_visits": stream_weekly_visits,
+    "stream_late_visits": stream_late_visits,
     "stream_first_seen": stream_first_seen,
     "stream_ingested_log": stream_ingested_log,
 }

@@ -325,6 +325,9 @@ ORACLES: dict[str, str] = {
     "ingested_rejects": f"""WITH {_dispositions()}
         SELECT disposition AS reason, type, key, seq FROM judged WHERE disposition <> 'APPLIED'""",
     "ingested_twice_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
+    "upserted_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
+    "upserted_rejects": f"""WITH {_dispositions()}
+        SELECT disposition AS reason, type, key, seq FROM judged WHERE disposition <> 'APPLIED'""",
     "ingested_customers_only": f"""WITH {_fold()}
         SELECT key AS customer_id, last_name, adr_city, adr_state,
                0.0 AS revenue_per_visit, 0.0 AS visits_per_week, 0.0 AS ltv
@@ -332,6 +335,23 @@ ORACLES: dict[str, str] = {
     "json_array_ltv": _AS_TEXT,
     "json_array_lines_ltv": _AS_TEXT,
     "json_lines_ltv": _AS_TEXT,
+    "json_split_arrays_ltv": _AS_TEXT,
+    "json_salvaged_rejects": f"""WITH {_dispositions()}
+        SELECT disposition AS reason, count(*) AS events FROM judged WHERE disposition <> 'APPLIED' GROUP BY disposition
+        UNION ALL SELECT 'CORRUPT', count(DISTINCT event_id // 2000) FROM events""",
+    "json_with_empty_folder_ltv": _AS_TEXT,
+    "json_missing_fields": f"""WITH {_LOG}, judged AS (
+          SELECT CASE WHEN seq % 37 = 0 THEN 'MISSING_type' WHEN seq % 31 = 0 THEN 'MISSING_event_time'
+                      WHEN type = 'OTHER' THEN NULL WHEN seq % 23 = 0 THEN 'MISSING_key'
+                      WHEN type <> 'CUSTOMER' AND seq % 29 = 0 THEN 'MISSING_customer_id'
+                      WHEN type = 'ORDER' AND seq % 43 = 0 THEN 'MISSING_total_amount'
+                      WHEN type = 'ORDER' AND amount IS NULL THEN NULL
+                      WHEN type IN ('CUSTOMER', 'ORDER') AND seq % 41 = 0 THEN 'MISSING_verb' END AS reason FROM log)
+        SELECT reason, count(*) AS events FROM judged WHERE reason IS NOT NULL GROUP BY reason""",
+    "events_by_inline_kind": f"""WITH {_LOG}, kinds(type, kind) AS (
+          VALUES ('CUSTOMER', 'person'), ('SITE_VISIT', 'page'), ('IMAGE', 'picture'), ('ORDER', 'sale'))
+        SELECT kind, count(*) AS events FROM log JOIN kinds USING (type) GROUP BY kind
+        UNION ALL SELECT 'all', count(*) FROM log""",
     "stream_json_ltv": _AS_TEXT,
     "json_array_rejects": f"""WITH {_dispositions()}
         SELECT disposition AS reason, count(*) AS events FROM judged
@@ -344,6 +364,9 @@ ORACLES: dict[str, str] = {
     "stream_weekly_visits": f"""WITH {_fold()}
         SELECT strftime({_WEEK_START}, '%Y-%m-%d') AS week_start, count(*) AS visits
         FROM state WHERE type = 'SITE_VISIT' GROUP BY ALL""",
+    "stream_late_visits": f"""WITH {_fold()}
+        SELECT strftime({_WEEK_START}, '%Y-%m-%d') AS week_start, count(*) AS visits
+        FROM state WHERE type = 'SITE_VISIT' GROUP BY ALL""",
     "stream_first_seen": f"""WITH {_LOG}
         SELECT DISTINCT type, key FROM log WHERE type IN ('SITE_VISIT', 'IMAGE')""",
     "stream_ingested_log": _BY_TYPE_VERB,

@@ -55,7 +55,7 @@ def test_dense_rank_windows_over_k_values_only(plan_of):
 
 @pytest.mark.parametrize("name", sorted(driver._QUERIES))
 def test_no_python_and_no_cross_join(plan_of, name):
-    if name.startswith(("stream_", "ingested_", "event_log_")):
+    if name.startswith(("stream_", "ingested_", "upserted_", "event_log_")):
         pytest.skip("runs jobs; its parts are covered by the other queries")
     plan = plan_of(name)
     for word in ("Python", "Pandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
