@@ -47,6 +47,8 @@ class ArcRecord(NamedTuple):
     fields: dict[str, str]
     content: bytes
     truncated: bool
+    #: Whether it is the block that begins the archive and names its version.
+    heads: bool = False
 
 
 def member(record: bytes) -> bytes:
@@ -54,17 +56,38 @@ def member(record: bytes) -> bytes:
     return packer.compress(record) + packer.flush()
 
 
-def members(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """(place, record) of each gzip member; line feeds between members and after the last are skipped."""
+#: How much of an archive is unpacked at a time.
+SLICE = 1 << 16
+MAGIC = b"\x1f\x8b\x08"
+
+
+def members(data: bytes, damage: list[tuple[int, bytes]] | None = None) -> Iterator[tuple[int, bytes]]:
+    """(place, record) of each gzip member; line feeds between members and after the last are skipped.
+
+    What is no member up to the next one, or behind a break in one, goes to `damage` with its place; without such a
+    list it raises. A member that is cut off gives what there is of it.
+    """
     view, at = memoryview(data), 0
     while at < len(data):
         if data[at] in b"\r\n":
             at += 1
             continue
-        unpacker = zlib.decompressobj(wbits=31)
-        record = unpacker.decompress(view[at:]) + unpacker.flush()
-        yield at, record
-        at = len(data) - len(unpacker.unused_data)
+        unpacker, parts, end = zlib.decompressobj(wbits=31), [], at
+        try:
+            while end < len(data) and not unpacker.eof:
+                piece = view[end : end + SLICE]
+                parts.append(unpacker.decompress(piece))
+                end += len(piece)
+            end -= len(unpacker.unused_data)
+        except zlib.error as error:
+            if damage is None:
+                raise ValueError(f"no gzip member at {at}") from error
+            end = data.find(MAGIC, at + 1)
+            end = len(data) if end < 0 else end
+            damage.append((at, data[at:end]))
+        if any(parts) or end == len(data):
+            yield at, b"".join(parts)
+        at = end
 
 
 def archives(records: Iterable[bytes], head: bytes = b"") -> Iterator[bytes]:
@@ -106,14 +129,17 @@ def _arc_line(line: bytes, version: int) -> tuple[str, dict[str, str]] | None:
     return parts[0], dict(zip(names, parts[1:]))
 
 
-def parse_arc(data: bytes) -> Iterator[ArcRecord]:
-    """The records of one archive, the version block first; damaged lines are passed over up to the next good one.
+def parse_arc(data: bytes, damage: list[tuple[int, bytes]] | None = None) -> Iterator[ArcRecord]:
+    """The records of one archive, gzipped by record or as a whole, or plain; damaged lines are passed over up to the next good one.
 
-    The first line says which fields follow: it is read by version 1, then by version 2, and the
-    block below it names the version for all further lines.
+    What is passed over goes to `damage`, with its place. The first line says which fields follow: it is read by
+    version 1, then by version 2, and the block below it names the version for all further lines. Only
+    the first record can be that block, whatever the URLs of others say.
     """
-    version = None
-    for place, record in members(data):
+    lost = [] if damage is None else damage
+    version, first = None, True
+    packed = data.startswith(MAGIC) or not data.strip()
+    for place, record in members(data, lost) if packed else [(0, data)]:
         at = 0
         while at < len(record):
             end = record.find(b"\n", at)
@@ -122,15 +148,18 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
             tried = [version] if version else [2, 1]
             parsed = next((p for v in tried if line.strip() and (p := _arc_line(line, v))), None)
             if parsed is None:
+                if line.strip():
+                    lost.append((place + at, record[at : end + 1]))
                 at = end + 1
                 continue
             url, fields = parsed
             length = int(fields["length"])
             content = record[end + 1 : end + 1 + length]
-            if url.startswith("filedesc:"):
-                said = re.match(rb"([12]) ", content)
-                version = int(said[1]) if said else 1
-            yield ArcRecord(place + at, url, fields, content, len(content) < length)
+            said = re.match(rb"([12]) ", content) if first and url.startswith("filedesc:") else None
+            if said:
+                version = int(said[1])
+            yield ArcRecord(place + at, url, fields, content, len(content) < length, bool(said))
+            first = False
             at = end + 1 + length
 
 
@@ -224,35 +253,41 @@ def write_arc(
 
 
 ARC_SCHEMA = (
-    "archive string, offset long, url string, ip string, date string, type string, truncated boolean, source_id long, "
+    "archive string, offset long, kind string, url string, ip string, date string, type string, truncated boolean, source_id long, "
     "head binary, payload binary, payload_digest string, payload_bytes long"
 )
 
 
 def read_arc(spark: SparkSession, folder: str, packed: bool = False) -> DataFrame:
-    """The records of all ARC archives of a folder, version blocks too, with digest and length of each payload.
+    """The records of all ARC archives of a folder, with digest and length of each payload.
 
-    `packed` payloads are compressed by zlib, for moving them.
+    `kind` is "version" for the block that begins an archive, "record", or "damage" for what could not be read, with its
+    bytes as payload and no URL. Archives are gzipped or plain. One archive and its records are held by a task. An
+    empty folder gives no rows. `packed` payloads are compressed by zlib, for moving them.
     """
     names = [part.split()[0] for part in ARC_SCHEMA.split(", ")]
-    kinds = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.int64()]
+    kinds = [pa.string(), pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.int64()]
+
+    def described(archive: str, kind: str, r: ArcRecord) -> tuple:
+        head, payload = split_http(r.content) if kind == "record" else (b"", r.content)
+        source = re.search(rb"^X-Source-Id: (-?[0-9]+)\r$", head, re.M)
+        return (
+            archive, r.offset, kind, r.url, r.fields.get("ip"), r.fields.get("date"), r.fields.get("type"), r.truncated,
+            int(source[1]) if source else None, head, zlib.compress(payload, LEVEL) if packed else payload,
+            hashlib.sha256(payload).hexdigest(), len(payload),
+        )
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive, content in zip(batch.column(0), batch.column(1)):
-                rows, size = [], 0
-                for r in parse_arc(content.as_py()):
-                    head, payload = split_http(r.content)
-                    source = re.search(rb"^X-Source-Id: (-?[0-9]+)\r$", head, re.M)
-                    rows.append(
-                        (archive.as_py(), r.offset, r.url, r.fields["ip"], r.fields["date"], r.fields["type"], r.truncated,
-                         int(source[1]) if source else None, head, zlib.compress(payload, LEVEL) if packed else payload,
-                         hashlib.sha256(payload).hexdigest(), len(payload))
-                    )
-                    size += len(payload)
+                rows, size, damage = [], 0, []
+                for r in parse_arc(content.as_py(), damage):
+                    rows.append(described(archive.as_py(), "version" if r.heads else "record", r))
+                    size += len(r.content)
                     if size > ARCHIVE:
                         yield _batch(rows, names, kinds)
                         rows, size = [], 0
+                rows += [described(archive.as_py(), "damage", ArcRecord(at, "", {}, lost, True)) for at, lost in damage]
                 yield _batch(rows, names, kinds)
 
     return _read(spark, folder).mapInArrow(parsed, ARC_SCHEMA)
@@ -266,7 +301,8 @@ def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
 def convert(spark: SparkSession, arc_folder: str, warc_folder: str) -> None:
     """ARC archives to WARC archives: identifiers, timestamps, types and digests are made from the old records.
 
-    Version blocks become warcinfo records, HTTP messages responses, anything else resources. Of responses with equal payloads of
+    Version blocks become warcinfo records, HTTP messages responses, what could not be read metadata (its bytes, and the place
+    it had), anything else resources. Of responses with equal payloads of
     at least LEAST_REVISIT bytes, the one with the smallest source identifier (then archive and
     place; no identifier comes last) is stored and the others become revisits of it. Only identifiers
     and digests are grouped; payloads move only to meet that decision.
@@ -285,7 +321,7 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str) -> None:
         .select(F.col("r.archive").alias("archive"), F.col("r.offset").alias("offset"), "first")
     )
     decided = records.join(revisits, ["archive", "offset"], "left").select(
-        "archive", "offset", "url", "ip", "date", "type", "truncated", "source_id", "head", "payload", "payload_digest", "payload_bytes",
+        "archive", "offset", "kind", "url", "ip", "date", "type", "truncated", "source_id", "head", "payload", "payload_digest", "payload_bytes",
         *[F.col(f"first.{k}").alias(f"first_{k}") for k in ("archive", "offset", "source_id", "url", "date")],
     )
 
@@ -306,18 +342,23 @@ def _key(source: int | None, archive: str, offset: int) -> str:
 
 
 def _converted(
-    archive, offset, url, ip, date, kind, truncated, source, head, payload, digest, size,
+    archive, offset, role, url, ip, date, kind, truncated, source, head, payload, digest, size,
     first_archive, first_offset, first_source, first_url, first_date,
 ) -> bytes:
     """One WARC record."""
     revisit = first_archive is not None
-    made = "warcinfo" if url.startswith("filedesc:") else "revisit" if revisit else "response" if head else "resource"
+    other = "revisit" if revisit else "response" if head else "resource"
+    made = {"version": "warcinfo", "damage": "metadata"}.get(role, other)
     block = head if revisit else head + zlib.decompress(payload)
     # Rows repeated under one identifier are told apart by their place.
     key = f"{_key(source, archive, offset)}:{archive.rsplit('/', 1)[-1]}:{offset}" if revisit else _key(source, archive, offset)
-    fields = [("WARC-Type", made), ("WARC-Record-ID", record_id(key)), ("WARC-Date", warc_date(date))]
+    # What is passed over has no date; several pieces may have been passed over at one place.
+    unique = f"{key}:{role}:{digest}" if role == "damage" else key
+    fields = [("WARC-Type", made), ("WARC-Record-ID", record_id(unique)), ("WARC-Date", warc_date(date or ""))]
     if made == "warcinfo":
         fields.append(("WARC-Filename", url.removeprefix("filedesc://")))
+    elif made == "metadata":
+        fields.append(("X-Passed-Over", f"{archive.rsplit('/', 1)[-1]}:{offset}"))
     else:
         fields += [("WARC-Target-URI", url), ("WARC-IP-Address", ip)]
         fields += [("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", str(size))]
@@ -332,7 +373,7 @@ def _converted(
     if truncated:
         fields.append(("WARC-Truncated", "unspecified"))
     fields.append(("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"))
-    fields.append(("Content-Type", "application/http;msgtype=response" if head else "text/plain" if made == "warcinfo" else kind))
+    fields.append(("Content-Type", "application/http;msgtype=response" if head else "text/plain" if made == "warcinfo" else kind or "application/octet-stream"))
     return warc_record(fields, block)
 
 

@@ -92,3 +92,50 @@ def test_empty_table(spark, folder):
     write_arc(pages, f"{folder}/arc")
     convert(spark, f"{folder}/arc", f"{folder}/warc")
     assert read_warc(spark, f"{folder}/warc").count() == 0
+
+
+def test_urls_that_look_like_version_blocks(spark, folder):
+    rows = [(i, "filedesc://page" if i % 5 == 2 else f"http://h/{i}", f"html {i} " * 30) for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    write_arc(pages, f"{folder}/arc")
+    assert read_arc(spark, f"{folder}/arc").where("kind = 'version'").count() == 2
+    convert(spark, f"{folder}/arc", f"{folder}/warc")
+    found = read_warc(spark, f"{folder}/warc").where("record_type = 'response'").collect()
+    assert sorted((r["source_id"], r["uri"]) for r in found) == [(i, url) for i, url, _ in rows]
+
+
+def test_nothing_is_lost_without_a_word(spark, folder, tmp_path):
+    """Plain archives, junk between members, a broken member, one cut inside its record line."""
+    records = [archives.arc_record(1, f"http://a/{i}", DATE, "text/plain", b"abc%d" % i) for i in range(4)]
+    plain = archives.arc_head(1, DATE) + b"".join(records)
+    assert [r.content for r in parse_arc(plain)][1:] == [b"abc%d" % i for i in range(4)]
+    packed = [archives.member(r) for r in (archives.arc_head(1, DATE), *records)]
+    broken = packed[2][:12] + b"\xff\xff\xff" + packed[2][15:]
+    cut = archives.member(b"http://a/9 0.0.0.0 2024")
+    damage = []
+    found = list(parse_arc(packed[0] + packed[1] + b"some junk" + broken + packed[3] + cut, damage))
+    assert [r.content for r in found if r.url in ("http://a/0", "http://a/2")] == [b"abc0", b"abc2"]
+    assert b"some junk" in b"".join(x for _, x in damage) and damage[-1][1] == b"http://a/9 0.0.0.0 2024"
+    assert len(damage) == 3 and damage[0][0] == len(packed[0] + packed[1])
+    with pytest.raises(ValueError):
+        list(archives.members(b"junk"))
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "plain.arc").write_bytes(plain)
+    (tmp_path / "arc" / "bad.arc.gz").write_bytes(packed[0] + b"junk" + packed[1])
+    kinds = sorted(r["kind"] for r in read_arc(spark, str(tmp_path / "arc")).collect())
+    assert kinds == ["damage"] + ["record"] * 5 + ["version"] * 2
+    convert(spark, str(tmp_path / "arc"), f"{folder}/warc")
+    types = sorted(r["record_type"] for r in read_warc(spark, f"{folder}/warc").collect())
+    assert types == ["metadata"] + ["resource"] * 5 + ["warcinfo"] * 2
+
+
+def test_members_are_walked_in_linear_time():
+    import time
+
+    took = []
+    for n in (4_000, 16_000):
+        data = archives.member(archives.arc_record(1, "http://a", DATE, "text/plain", random.Random(1).randbytes(300))) * n
+        start = time.process_time()
+        assert sum(1 for _ in archives.members(data)) == n
+        took.append(time.process_time() - start)
+    assert took[1] < 10 * took[0] + 0.2
