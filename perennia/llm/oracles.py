@@ -47,11 +47,11 @@ WITH RECURSIVE u AS (
   SELECT *, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS by_rule
   FROM ruled
 ), links AS (
-  SELECT host AS src, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?([a-z][a-z0-9+.-]*://[^"''\s>]+)', 1)) AS url
+  SELECT host AS src, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^"''\s>]+)', 1)) AS url
   FROM p
 ), edges AS (
   SELECT src, dst, count(*) AS links FROM (
-    SELECT src, translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'),
+    SELECT src, translate(regexp_extract(substr(url, strpos(url, '//') + 2), '^[^/?#]*'),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM links)
   WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
 ), both_ways AS (
@@ -66,7 +66,7 @@ seeds AS (
   SELECT 0 AS step, kind, host, seed AS mass FROM seeds
   UNION ALL
   SELECT step + 1, s.kind, s.dst, sum(w.mass * s.share) FROM walk w JOIN shares s ON s.kind = w.kind AND s.src = w.host
-  WHERE step < 10 GROUP BY step + 1, s.kind, s.dst
+  WHERE step < 200 AND w.mass > 1e-13 GROUP BY step + 1, s.kind, s.dst
 ), scores AS (
   SELECT host, round(sum(CASE WHEN kind = 'allow' THEN mass ELSE 0 END), 9) AS trust,
     round(sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END), 9) AS distrust

@@ -23,7 +23,10 @@ class Rule(NamedTuple):
     path: str
 
 
-HREF = r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
+#: Links to a host: with a scheme, or with that of the page.
+HREF = r"""(?i)href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
+#: Scores are final when no round moves more than this to any host.
+SETTLED = 1e-11
 
 
 def host_of(url: Column) -> Column:
@@ -58,20 +61,22 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """(src, dst, links) of absolute links between different hosts; pages need a column `host`."""
+    """(src, dst, links) of links between different hosts; pages need a column `host`."""
     links = pages.where(F.contains(F.lower(F.col(html_col)), F.lit("href"))).select(
         F.col("host").alias("src"),
         F.explode(F.regexp_extract_all(F.col(html_col), F.lit(HREF), 1)).alias("url"),
     )
-    edges = links.select("src", host_of(F.col("url")).alias("dst")).where("src <> '' and dst <> '' and src <> dst")
+    url = F.when(F.startswith("url", F.lit("//")), F.concat(F.lit("http:"), "url")).otherwise(F.col("url"))
+    edges = links.select("src", host_of(url).alias("dst")).where("src <> '' and dst <> '' and src <> dst")
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """(kind, host, score) after `rounds` steps of `score = seed + damping * inflow`.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float) -> DataFrame:
+    """(kind, host, score), the fixed point of `score = seed + damping * inflow`.
 
     `edges` are (kind, src, dst, links); `seeds` are (kind, host, seed). A host passes its score on
-    in proportion to its links; the score of a host without links goes nowhere.
+    in proportion to its links; the score of a host without links goes nowhere. Each round moves on what came in
+    in the round before, until that is nothing; one number per round goes to the driver.
     """
     totals = edges.groupBy("kind", "src").agg(F.sum("links").alias("all_links"))
     shares = cut(
@@ -82,20 +87,15 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -
     scores = seeds.select("kind", "host", F.col("seed").alias("score"))
     if shares.isEmpty():
         return scores
-    seeds = cut(seeds)
-    for step in range(rounds):
-        inflow = shares.join(scores.withColumnRenamed("host", "src"), ["kind", "src"]).select(
+    scores = moving = cut(scores)
+    while True:
+        inflow = shares.join(moving.withColumnRenamed("host", "src"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("score") * F.col("share")).alias("score")
         )
-        scores = (
-            seeds.select("kind", "host", F.col("seed").alias("score"))
-            .unionAll(inflow)
-            .groupBy("kind", "host")
-            .agg(F.sum("score").alias("score"))
-        )
-        if step % 5 == 4:
-            scores = cut(scores)
-    return scores
+        moving = cut(inflow.groupBy("kind", "host").agg(F.sum("score").alias("score")))
+        scores = cut(scores.unionAll(moving).groupBy("kind", "host").agg(F.sum("score").alias("score")))
+        if (moving.agg(F.max("score")).first()[0] or 0.0) <= SETTLED:
+            return scores
 
 
 def judge_urls(
@@ -105,16 +105,15 @@ def judge_urls(
     url_col: str = "url",
     html_col: str = "html",
     damping: float = 0.85,
-    rounds: int = 10,
     threshold: float = 0.5,
 ) -> DataFrame:
     """One row per row of `pages`: id, host, path, rule, verdict, trust, distrust.
 
     The longest fitting rule decides. Else the host does: it is blocked if its distrust is at least
-    `threshold` and above its trust (both rounded to nine decimals), and allowed otherwise. The seed
+    `threshold` and above its trust (both rounded to nine decimals), and allowed otherwise; `damping` is below 1. The seed
     of a host is the share of its pages that rules block or allow. Null urls, and such without
     `://`, have an empty host, which is allowed; null html has no links. Repeated rows count as
-    often as they occur; other columns are not looked at.
+    often as they occur, equal rules once; other columns are not looked at. An empty table gives no rows.
     """
     named = pages.select(
         F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"),
@@ -132,7 +131,7 @@ def judge_urls(
     seeds = shares.select(
         "host", F.explode(F.create_map(F.lit("trust"), "trust", F.lit("distrust"), "distrust")).alias("kind", "seed")
     ).where("seed > 0")
-    scores = propagate(both, seeds, damping, rounds)
+    scores = propagate(both, seeds, damping)
     hosts = scores.groupBy("host").agg(
         F.round(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)), 9).alias("trust"),
         F.round(F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)), 9).alias("distrust"),

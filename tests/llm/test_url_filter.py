@@ -19,7 +19,7 @@ def fitting(host, path):
     return max(fits, key=lambda r: len(r.host + r.path), default=None)
 
 
-def brute(pages, damping=0.85, rounds=10):
+def brute(pages, damping=0.85, rounds=400):
     named = [(i, *host_and_path(u), h) for i, u, h in pages]
     links, seeds, count = {}, {"allow": {}, "block": {}}, {}
     for _, host, path, html in named:
@@ -28,8 +28,8 @@ def brute(pages, damping=0.85, rounds=10):
             rule = fitting(host, path)
             if rule:
                 seeds[rule.verdict][host] = seeds[rule.verdict].get(host, 0) + 1
-        for url in re.findall(r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)""", html or ""):
-            dst = host_and_path(url)[0]
+        for url in re.findall(r"""(?i)href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)""", html or ""):
+            dst = host_and_path("http:" + url if url.startswith("//") else url)[0]
             if host and dst and host != dst:
                 links[host, dst] = links.get((host, dst), 0) + 1
 
@@ -61,7 +61,7 @@ def test_equal_to_brute_force(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://H1.COM", "http://h2.com?x=/en/", "http://a.net#/", "http://A.net/x", "://h3.com/é?ü", "http://xbad.org/"]
     pages = []
     for i in range(300):
-        links = "".join(f"""<a HREF = {rng.choice('"' + "'")}http://{rng.choice(hosts)}/p">x</a> <a href="/in">""" for _ in range(rng.randint(0, 4)))
+        links = "".join(f"""<a HREF = {rng.choice('"' + "'")}{rng.choice(["http://", "//"])}{rng.choice(hosts)}/p">x</a> <a href="/in">""" for _ in range(rng.randint(0, 4)))
         url = rng.choice(urls) if rng.random() < 0.2 else f"https://{rng.choice(hosts)}/{rng.choice(['en', 'de'])}/{i}?q#f"
         pages.append((i, url, rng.choice([links, links, links, None])))
     rows = spark.createDataFrame([(*p, "x", 0.0) for p in pages], "page_id long, url string, html string, host string, trust double")
@@ -76,3 +76,29 @@ def test_empty_and_repeated_rows(spark):
     out = judge_urls(pages, RULES).select("page_id", "verdict").collect()
     assert sorted(map(tuple, out), key=str) == [(1, "block")] * 3 + [(None, "allow")]
     assert judge_urls(pages.where("false"), RULES).count() == 0
+
+
+def test_scores_are_those_of_the_fixed_point(spark):
+    """One of five equal linkers of a blocked host, which exchanges links with a host of no other links."""
+    bad = '<a href="http://bad.org/">'
+    pages = [(0, "http://a.com/", bad + '<a href="//b.com/">'), (1, "http://b.com/", "<a href='http://a.com/'>"), (2, "http://bad.org/", None)]
+    pages += [(3 + i, f"http://l{i}.com/", bad + '<a href="//a.com/">') for i in range(4)]
+    out = judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES)
+    got = {r["page_id"]: r for r in out.collect()}
+    assert [(i, got[i]["verdict"]) for i in range(7)] == [(p[0], p[4]) for p in sorted(brute(pages))]
+    for i, r in got.items():
+        assert abs(r["distrust"] - fixed_point(pages)[r["host"]]) < 1e-8
+
+
+def fixed_point(pages):
+    import numpy as np
+
+    hosts = sorted({host_and_path(u)[0] for _, u, _ in pages})
+    at = {h: i for i, h in enumerate(hosts)}
+    links = np.zeros((len(hosts), len(hosts)))
+    for _, url, html in pages:
+        for _, dst in re.findall(r"href=([\"'])(?:http:)?//([^/]+)/", html or ""):
+            links[at[dst], at[host_and_path(url)[0]]] += 1  # distrust goes back along links
+    shares = links / np.maximum(links.sum(axis=1, keepdims=True), 1)
+    seed = np.array([float(h == "bad.org") for h in hosts])
+    return dict(zip(hosts, np.linalg.solve(np.eye(len(hosts)) - 0.85 * shares.T, seed)))
