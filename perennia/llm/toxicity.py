@@ -139,7 +139,8 @@ def _token_labels(documents: list[list[str]], toxic: list[bool]) -> list[np.ndar
         best = 0.0
         for form in forms(word)[1:-1]:
             yes, no = seen[1][form], seen[0][form]
-            if yes >= LEAST_DOCUMENTS and len(form) > 4:
+            # A beginning of three letters says too little; a whole word may be as short as it likes.
+            if yes >= LEAST_DOCUMENTS and (form[0] == "=" or len(form) > 4):
                 best = max(best, (yes + 0.5) / (number[True] + 1) / ((no + 0.5) / (number[False] + 1)))
         return best
 

@@ -113,3 +113,15 @@ def test_query_on_held_out_rows(spark):
     tested = [(r["predicted"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
     assert sum(p == x for p, x in tested) >= 0.97 * len(tested)
     assert all(p == 1 for p, x in tested if x) or sum(1 for p, x in tested if x and not p) <= 1
+
+
+def test_short_words_can_be_toxic():
+    rng = random.Random(8)
+    words = [f"wort{i}" for i in range(50)] + ["ein", "du", "ab"]
+    texts = [" ".join(rng.choices(words, k=30)) for _ in range(200)]
+    toxic = [i % 2 == 1 for i in range(200)]
+    slurs = ["zog", "xi", "q"]
+    texts = [t + " " + " ".join(rng.choices(slurs, k=3)) if bad else t for t, bad in zip(texts, toxic)]
+    labels = toxicity._token_labels([t.split() for t in texts], toxic)
+    for text, bad, marked in zip(texts, toxic, labels):
+        assert [w for w, m in zip(text.split(), marked) if m] == [w for w in text.split() if w in slurs]
