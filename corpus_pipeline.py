@@ -58,7 +58,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id stays, one row of it; null ids count as largest."""
     rows = _numbered(docs, "last")
-    return _without(rows, near_duplicates(rows, percent=85, id_col="row").where("not kept"))
+    return _without(rows, near_duplicates(rows, percent=80, id_col="row").where("not kept"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
