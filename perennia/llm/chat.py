@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennia.llm.common import filled, running_sums, sha256
+from perennia.llm.common import filled, let, running_sums, sha256
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 
@@ -99,13 +99,37 @@ def read_turns(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
-def learnt_text(formatted: Column, loss_runs: Column) -> Column:
-    """All text under the loss mask, unescaped, with nothing between its parts."""
-    starts = running_sums(F.transform(loss_runs, lambda r: (r["skip"] + r["keep"]).cast("long")))
-    parts = F.zip_with(
-        loss_runs, starts, lambda r, at: F.substring(formatted, (at + r["skip"] + 1).cast("int"), r["keep"])
-    )
-    return F.array_join(F.transform(parts, unescape), "")
+def learnt_text(formatted: Column, loss_runs: Column, block: int = 256) -> Column:
+    """All text under the loss mask, unescaped, with nothing between its parts.
+
+    A place in a text is found by walking to it, so runs are taken from blocks of the text, not from the whole.
+    """
+
+    def lengths(runs):
+        return F.transform(runs, lambda r: (r["skip"] + r["keep"]).cast("long"))
+
+    def total(runs):
+        return F.aggregate(lengths(runs), F.lit(0).cast("long"), lambda acc, x: acc + x)
+
+    def kept(runs, text):
+        parts = F.zip_with(
+            runs, running_sums(lengths(runs)), lambda r, at: F.substring(text, (at + r["skip"] + 1).cast("int"), r["keep"])
+        )
+        return F.array_join(F.transform(parts, unescape), "")
+
+    def learnt(blocks):
+        texts = F.zip_with(
+            blocks,
+            running_sums(F.transform(blocks, total)),
+            lambda runs, at: let(
+                F.substring(formatted, (at + 1).cast("int"), total(runs).cast("int")), lambda text: kept(runs, text)
+            ),
+        )
+        return F.array_join(texts, "")
+
+    last = F.floor((F.size(loss_runs) - 1) / block).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(loss_runs, b * block + 1, block))
+    return F.when(F.size(loss_runs) > 0, let(blocks, learnt)).otherwise("")
 
 
 def chat_digest(chats: DataFrame, conv_col: str = "conv_id") -> DataFrame:
