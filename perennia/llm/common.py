@@ -48,8 +48,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def running_sums(values: Column, block: int = 256) -> Column:
-    """For each element of an array of longs the sum of those before it.
+#: Characters of one block of a text, as a power of two.
+_BLOCK_BITS = 11
+
+
+def unused(name: str, rows: DataFrame) -> str:
+    """`name`, made longer until no column of `rows` is called so."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def blocks_of(text: Column) -> Column:
+    """A text as an array of blocks of equally many characters, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << _BLOCK_BITS}}}+"), F.lit(0))
+
+
+def between(blocks: Column, start: Column, end: Column) -> Column:
+    """The characters from `start` to `end` (exclusive) of a text given as `blocks_of` it.
+
+    `substring` of a text walks to its place from the beginning, this one from the beginning of a block.
+    """
+    first, last = F.shiftright(start, _BLOCK_BITS), F.shiftright(end - 1, _BLOCK_BITS)
+    held = F.array_join(F.slice(blocks, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+    place = (start - F.shiftleft(first, _BLOCK_BITS) + 1).cast("int")
+    return F.when(start < end, F.substring(held, place, (end - start).cast("int"))).otherwise("")
+
+
+def _running(values: Column, step: Callable[[Column, Column], Column], block: int) -> Column:
+    """For each element of an array of longs what `step`, begun with 0, makes of those before it.
 
     Appending to one array copies it each time, so it is done in blocks: time stays near the
     length of the array.
@@ -60,21 +88,29 @@ def running_sums(values: Column, block: int = 256) -> Column:
     def before(array, start):
         return F.aggregate(
             array,
-            F.struct(start.alias("sum"), none.alias("out")),
-            lambda acc, x: F.struct(
-                (acc["sum"] + x).alias("sum"), F.array_append(acc["out"], acc["sum"]).alias("out")
-            ),
+            F.struct(start.alias("at"), none.alias("out")),
+            lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")),
             lambda acc: acc["out"],
         )
 
     def total(array):
-        return F.aggregate(array, zero, lambda acc, x: acc + x)
+        return F.aggregate(array, zero, step)
 
     def blocks(array):
         last = F.floor((F.size(array) - 1) / block).cast("int")
         return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(array, b * block + 1, block))
 
-    def sums(parts):
+    def all_before(parts):
         return F.flatten(F.zip_with(parts, before(F.transform(parts, total), zero), before))
 
-    return let(values, lambda array: F.when(F.size(array) > 0, let(blocks(array), sums)).otherwise(none))
+    return let(values, lambda array: F.when(F.size(array) > 0, let(blocks(array), all_before)).otherwise(none))
+
+
+def running_sums(values: Column, block: int = 256) -> Column:
+    """For each element of an array of longs the sum of those before it."""
+    return _running(values, lambda acc, x: acc + x, block)
+
+
+def running_maxima(values: Column, block: int = 256) -> Column:
+    """For each element of an array of longs the largest of those before it, and at least 0."""
+    return _running(values, lambda acc, x: F.greatest(acc, x), block)

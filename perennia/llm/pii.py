@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennia.llm.common import filled, let, running_sums
+from perennia.llm.common import between, blocks_of, filled, let, running_maxima, running_sums, unused
 
 #: Possessive, and anchored where a run begins (or the last match ended): same matches, linear time.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -141,36 +141,73 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, "1").when(no, "0").otherwise("x")
 
 
-def _overlapping(base: Column, start: Column, end: Column) -> Column:
-    return F.filter(base, lambda b: (b["start"] < end) & (start < b["end"]))
+def _merged(spans: Column) -> Column:
+    """Disjoint (start, end, kind) in order: each span that begins where none before it runs, as far as those that overlap it."""
 
+    def heads(ordered):
+        before = running_maxima(F.transform(ordered, lambda s: s["end"]))
+        paired = F.zip_with(ordered, before, lambda s, b: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), b.alias("before")))
+        longest = F.array_max(F.transform(ordered, lambda s: s["end"]))
+
+        def ended(found):
+            return F.transform(
+                found,
+                lambda s, i: F.struct(
+                    s["start"].alias("start"),
+                    F.coalesce(F.get(found, i + 1)["before"], longest).alias("end"),
+                    s["kind"].alias("kind"),
+                ),
+            )
+
+        return let(F.filter(paired, lambda s: s["start"] >= s["before"]), ended)
+
+    ordered = F.array_sort(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    )
+    return let(ordered, heads)
 
-def _gaps(word: Column, end: Column, base: Column) -> Column:
-    """Array of (start, end), places in the text, of what base spans leave of a word."""
-    spans = F.array_sort(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
 
-    def gap(start, stop):
-        return F.when(start < stop, F.array(F.struct(start.alias("start"), stop.alias("end")))).otherwise(
-            F.array().cast("array<struct<start:bigint,end:bigint>>")
+def _steps(spans: Column) -> Column:
+    """The steps of a binary search over `spans`, the widest first."""
+    widest = F.floor(F.log2(F.size(spans) + 1)).cast("int")
+    return F.transform(F.sequence(widest, F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+
+
+def _overlapping(merged: Column, steps: Column, start: Column, end: Column) -> Column:
+    """Those of the disjoint spans that reach into the place from `start` to `end`, by binary search for both ends."""
+
+    def count(holds):
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda at, step: F.when(
+                (at + step <= F.size(merged)) & holds(F.get(merged, at + step - 1)), at + step
+            ).otherwise(at),
         )
 
-    return F.aggregate(
-        spans,
-        F.struct(word["start"].alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap(acc["at"], s["start"])).alias("out")
+    return let(
+        F.struct(count(lambda s: s["end"] <= start).alias("low"), count(lambda s: s["start"] < end).alias("high")),
+        lambda found: F.slice(merged, found["low"] + 1, found["high"] - found["low"]),
+    )
+
+
+def _gaps(word: Column, end: Column, spans: Column) -> Column:
+    """Array of (start, end), places in the text, of what disjoint spans in order leave of a word."""
+    gaps = F.transform(
+        F.sequence(F.lit(0), F.size(spans)),
+        lambda i: F.struct(
+            F.greatest(word["start"], F.get(spans, i - 1)["end"]).alias("start"),
+            F.least(end, F.get(spans, i)["start"]).alias("end"),
         ),
-        lambda acc: F.concat(acc["out"], gap(acc["at"], end)),
     )
+    return F.filter(gaps, lambda gap: gap["start"] < gap["end"])
 
 
-def _parts(word: Column, end: Column, base: Column) -> Column:
-    """The parts of a word, outside its base spans, that are candidates; each with its votes and form."""
+def _parts(word: Column, end: Column, spans: Column) -> Column:
+    """The parts of a word, outside the base spans in it, that are candidates; each with its votes and form."""
 
-    def of_gap(gap):
-        text = F.substring(
-            word["text"], (gap["start"] - word["start"] + 1).cast("int"), (gap["end"] - gap["start"]).cast("int")
-        )
+    def of_gap(gap, blocks):
+        text = between(blocks, gap["start"] - word["start"], gap["end"] - word["start"])
         # What stands before the first part of a word is what stands before the word.
         lead = F.when(gap["start"] == word["start"], word["before"]).otherwise("")
 
@@ -190,11 +227,14 @@ def _parts(word: Column, end: Column, base: Column) -> Column:
         # With a digit or `@` as words are, or told by its shape or by the words before it.
         return part["text"].rlike("[0-9@]") | part["text"].rlike(SHAPES) | part["before"].rlike(CUES)
 
-    parts = F.flatten(F.transform(_gaps(word, end, base), of_gap))
+    parts = let(
+        blocks_of(word["text"]),
+        lambda blocks: F.flatten(F.transform(_gaps(word, end, spans), lambda gap: of_gap(gap, blocks))),
+    )
     return F.transform(F.filter(parts, may), lambda p: _voted(p, F.lit(False)))
 
 
-def _judged(word: Column, base: Column) -> Column:
+def _judged(word: Column, merged: Column, steps: Column) -> Column:
     """The candidates in a word with their votes and forms: itself, or its parts if it is long or base spans meet it."""
     end = word["start"] + F.char_length(word["text"])
     short = F.char_length(word["text"]) <= SEEN
@@ -204,7 +244,7 @@ def _judged(word: Column, base: Column) -> Column:
         whole = F.when(short, F.array(_voted(word, covered))).otherwise(F.array())
         return F.concat(whole, F.when(short & ~covered, F.array()).otherwise(_parts(word, end, spans)))
 
-    return let(_overlapping(base, word["start"], end), judged)
+    return let(_overlapping(merged, steps, word["start"], end), judged)
 
 
 def _voted(candidate: Column, covered: Column) -> Column:
@@ -242,18 +282,22 @@ def _ballot(candidate: Column, seen: Column, before: Column, covered: Column) ->
     )
 
 
-def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
-    """`docs` with columns `_base` and `_candidates`."""
-    return docs.withColumn("_text", filled(F.col(text_col))).withColumn("_base", _base(F.col("_text"))).withColumn(
-        "_candidates",
-        F.when(
-            F.col("_text").rlike("[0-9@]"),
-            let(
-                F.col("_base"),
-                lambda base: F.flatten(F.transform(_matches(F.col("_text"), CANDIDATE), lambda c: _judged(c, base))),
-            ),
-        ),
-    )
+def _candidates(docs: DataFrame, text_col: str) -> tuple[DataFrame, str, str]:
+    """`docs` with two more columns, and their names: the base spans, and the candidates (null: none)."""
+    base = unused("base", docs)
+    with_base = docs.withColumn(base, _base(filled(F.col(text_col))))
+    found = unused("found", with_base)
+    text = filled(F.col(text_col))
+
+    def judged(spans):
+        merged, steps = spans["merged"], spans["steps"]
+        return F.flatten(F.transform(_matches(text, CANDIDATE), lambda word: _judged(word, merged, steps)))
+
+    def searched(merged):
+        return let(F.struct(merged.alias("merged"), _steps(merged).alias("steps")), judged)
+
+    candidates = F.when(text.rlike("[0-9@]"), let(_merged(F.col(base)), searched))
+    return with_base.withColumn(found, candidates), base, found
 
 
 def fit(counts: list[tuple[str, str, int]], rounds: int = 50) -> SpanModel:
@@ -295,8 +339,8 @@ def fit(counts: list[tuple[str, str, int]], rounds: int = 50) -> SpanModel:
 
 def learn_spans(docs: DataFrame, text_col: str = "text") -> SpanModel:
     """The model of this corpus, from the votes on all candidates of all texts."""
-    found = _candidates(docs.select(text_col), text_col).select(F.explode("_candidates").alias("c"))
-    counts = found.groupBy("c.votes", "c.form").count().collect()
+    rows, _, found = _candidates(docs.select(text_col), text_col)
+    counts = rows.select(F.explode(found).alias("c")).groupBy("c.votes", "c.form").count().collect()
     return fit(sorted((r["votes"], r["form"], r["count"]) for r in counts))
 
 
@@ -306,9 +350,10 @@ def annotate(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataF
     Both are sorted by kind as in KINDS (OTHER last), then start. `spans` holds the base spans and
     each candidate that the model takes for personal data. A word that base spans meet, or of more
     than SEEN characters, is judged by its parts outside them, each with its own place. Null and
-    empty texts have none. Columns of these two names are replaced; all others stay as they are.
+    empty texts have none, repeated rows the same each, an empty table stays empty. Columns of these two names are
+    replaced; all others stay as they are, whatever their names. Time is near the length of a text and its spans.
     """
-    found = _candidates(docs, text_col)
+    rows, base, found = _candidates(docs, text_col)
     if model.forms:
         odds = F.create_map(*[F.lit(x) for word, weight in sorted(model.forms.items()) for x in (word, weight)])
         score = lambda c: F.aggregate(
@@ -317,42 +362,34 @@ def annotate(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataF
             lambda acc, word: acc + F.coalesce(F.try_element_at(odds, word), F.lit(0.0)),
         )
         more = F.transform(
-            F.filter(F.coalesce("_candidates", F.array()), lambda c: ~c["covered"] & (score(c) > 0)),
+            F.filter(F.coalesce(found, F.array()), lambda c: ~c["covered"] & (score(c) > 0)),
             lambda c: F.struct(F.lit(OTHER).alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
         )
     else:
         more = F.array().cast(_SPANS)
-    return found.withColumns({"base_spans": F.col("_base"), "spans": F.concat("_base", more)}).drop(
-        "_text", "_base", "_candidates"
-    )
+    kept = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c.lower() not in ("base_spans", "spans")]
+    return rows.select(*kept, F.col(base).alias("base_spans"), F.concat(base, more).alias("spans"))
 
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; of overlapping ones the first counts."""
-    ordered = F.array_sort(
-        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    )
-    # Where the spans so far end; what begins before that is covered already.
-    state = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.array_append(
-                    acc["out"],
-                    F.concat(
-                        F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-                        F.lit("<"), s["kind"], F.lit(">"),
-                    ),
-                ).alias("out"),
+
+    def replaced(found):
+        def whole(parts):
+            merged, blocks = parts["merged"], parts["blocks"]
+            zero = F.lit(0).cast("long")
+            marked = F.transform(
+                merged,
+                lambda s, i: F.concat(
+                    between(blocks, F.coalesce(F.get(merged, i - 1)["end"], zero), s["start"]), F.lit("<"), s["kind"], F.lit(">")
+                ),
             )
-        ),
-        lambda acc: F.concat(
-            F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text))
-        ),
-    )
-    return F.when(F.size(spans) > 0, state).otherwise(text)
+            behind = between(blocks, F.get(merged, F.size(merged) - 1)["end"], F.char_length(text).cast("long"))
+            return F.concat(F.array_join(marked, ""), behind)
+
+        return let(F.struct(found.alias("merged"), blocks_of(text).alias("blocks")), whole)
+
+    return F.when(F.size(spans) > 0, let(_merged(spans), replaced)).otherwise(text)
 
 
 def printed(spans: Column) -> Column:
