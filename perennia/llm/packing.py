@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perennia.llm.common import cut, filled
+from perennia.llm.common import cut, filled, unused
 from perennia.llm.tokens import TextIds, kept, slices
 
 GROUP = 32_768
@@ -135,19 +135,21 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), id_col: str = "doc_
     """`pieces` (id, piece, length and whatever else is small) with sequence_id and offset.
 
     Rows repeated are packed as often as they occur. Every row is placed once; an empty table stays
-    empty. The pieces are stored below the shared checkpoint folder first: their number is needed.
+    empty. Columns of these two names are replaced, all others stay, whatever their names. The pieces
+    are stored below the shared checkpoint folder first: their number is needed.
     """
-    pieces = cut(pieces)
+    pieces = cut(pieces.drop("sequence_id", "offset"))
+    dealt_to = unused("group", pieces)
     groups = pieces.count() // GROUP + 1
     # By the place in the stored pieces, which is fixed: rows that share an id are spread as well.
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+    dealt = pieces.withColumn(dealt_to, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
     def placed(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy()
         bins, offsets = pack_group(lengths, capacity, by=by)
-        group = table.column("group").to_numpy()
+        group = table.column(dealt_to).to_numpy()
         table = table.append_column("sequence_id", pa.array((group << 32) + bins, pa.int64()))
-        return table.append_column("offset", pa.array(offsets, pa.int64())).drop_columns(["group"])
+        return table.append_column("offset", pa.array(offsets, pa.int64())).drop_columns([dealt_to])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return dealt.groupBy("group").applyInArrow(placed, f"{fields}, sequence_id long, offset long")
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in pieces.schema)
+    return dealt.groupBy(dealt_to).applyInArrow(placed, f"{fields}, sequence_id long, offset long")

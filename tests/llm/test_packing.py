@@ -115,3 +115,14 @@ def test_rows_of_one_id_are_spread(spark, monkeypatch):
     rows = pack(document_pieces(docs, PATH)).collect()
     groups = [r["sequence_id"] >> 32 for r in rows]
     assert len(rows) == 600 and max(groups.count(g) for g in set(groups)) <= 100
+
+
+def test_pack_takes_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(i, 700, "g", "G", 7, 9) for i in range(9)], "id long, length long, `group` string, `Group_` string, offset int, sequence_id int")
+    out = pack(rows, id_col="id")
+    assert sorted(out.columns) == sorted(["id", "length", "group", "Group_", "sequence_id", "offset"])
+    got = out.collect()
+    assert sorted(r["id"] for r in got) == list(range(9))
+    assert {(r["group"], r["Group_"]) for r in got} == {("g", "G")}
+    places = {(r["sequence_id"], r["offset"]) for r in got}
+    assert len(places) == 9 and {offset for _, offset in places} == {0, 700}
