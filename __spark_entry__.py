@@ -37,6 +37,7 @@ from perennia.sources.inline import inline_relation
 from perennia.sources.json_events import from_json_lines, read_event_lines, read_events, stream_events, to_json_lines
 from perennia.sources.tables import entities_from_tables, event_log_from_tables, relations_from_orders
 from perennia.streaming import jobs
+from perennia.streaming.compaction import compact, remove_merged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -489,6 +490,19 @@ def stream_partials_ltv(spark, sf_dir):
     return result_columns(ltv(entities_of_state(jobs.read_state(spark, out))))
 
 
+def stream_compacted_ltv(spark, sf_dir):
+    """The log as several batches, merged when they are there, and what was merged removed."""
+    base = work_folder(spark, "compacted")
+    events = _table(spark, sf_dir, "events")
+    events.repartition(7, "event_id").write.parquet(f"{base}/in")
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    log = event_log_from_tables(files)
+    jobs.stream_partials(log, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    compact(spark, f"{base}/out", fan=2)
+    remove_merged(spark, f"{base}/out", keep=1)
+    return result_columns(ltv(entities_of_state(jobs.read_state(spark, f"{base}/out"))))
+
+
 def stream_ltv_top10(spark, sf_dir):
     out = _run_stream(spark, sf_dir, "top", lambda *a: jobs.stream_top(*a, x=10))
     return jobs.read_top(spark, out)
@@ -584,6 +598,7 @@ _QUERIES: dict[str, Query] = {
     "event_log_by_type_verb": event_log_by_type_verb,
     "stream_state_equals_batch": stream_state_equals_batch,
     "stream_partials_ltv": stream_partials_ltv,
+    "stream_compacted_ltv": stream_compacted_ltv,
     "stream_ltv_top10": stream_ltv_top10,
     "stream_weekly_visits": stream_weekly_visits,
     "stream_late_visits": stream_late_visits,

@@ -360,6 +360,7 @@ ORACLES: dict[str, str] = {
     "stream_state_equals_batch": f"""WITH {_fold()}
         SELECT type, key, customer_id, CAST(amount AS DOUBLE) AS amount, first_seq, last_seq FROM state""",
     "stream_partials_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
+    "stream_compacted_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
     "stream_ltv_top10": _TOP10,
     "stream_weekly_visits": f"""WITH {_fold()}
         SELECT strftime({_WEEK_START}, '%Y-%m-%d') AS week_start, count(*) AS visits

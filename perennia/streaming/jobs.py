@@ -17,6 +17,7 @@ from perennia.operators.validate import valid_events
 from perennia.plans.ltv import ltv, result_columns
 from perennia.schema import ALL_TYPES, FIRST_WINS, SITE_VISIT
 from perennia.sources.event_log import PARTITIONING, log_rows
+from perennia.streaming.compaction import compact, live_folders
 
 AVAILABLE_NOW = {"availableNow": True}
 _KEYS = ("type", "key")
@@ -31,6 +32,12 @@ def _write_batch(rows: DataFrame, folder: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
 
 
+def _write_state(rows: DataFrame, folder: str, batch: int, compact_every: int) -> None:
+    _write_batch(rows, folder, batch)
+    if compact_every and (batch + 1) % compact_every == 0:
+        compact(rows.sparkSession, folder)
+
+
 def stream_to_log(events: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append arriving events to the typed, partitioned event log."""
     return (
@@ -46,17 +53,23 @@ def stream_to_log(events: DataFrame, folder: str, checkpoint: str, trigger: dict
 
 
 def stream_state(
-    log: DataFrame, folder: str, checkpoint: str, bad_time: str = "null_week", trigger: dict | None = None
+    log: DataFrame,
+    folder: str,
+    checkpoint: str,
+    bad_time: str = "null_week",
+    trigger: dict | None = None,
+    compact_every: int = 0,
 ) -> StreamingQuery:
     """Entity state as a streaming aggregation in update mode.
 
     Each batch writes the keys it changed. The state keeps one row per key for ever, since any later
-    UPDATE counts; there is no watermark, so no lateness is too late.
+    UPDATE counts; there is no watermark, so no lateness is too late. After every `compact_every`
+    batches (0: never) those before are merged, see `compaction`.
     """
     state = partial_state(_known(log, bad_time), *_KEYS)
     return (
         state.writeStream.outputMode("update")
-        .foreachBatch(lambda rows, batch: _write_batch(rows, folder, batch))
+        .foreachBatch(lambda rows, batch: _write_state(rows, folder, batch, compact_every))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or AVAILABLE_NOW))
         .start()
@@ -64,12 +77,20 @@ def stream_state(
 
 
 def stream_partials(
-    log: DataFrame, folder: str, checkpoint: str, bad_time: str = "null_week", trigger: dict | None = None
+    log: DataFrame,
+    folder: str,
+    checkpoint: str,
+    bad_time: str = "null_week",
+    trigger: dict | None = None,
+    compact_every: int = 0,
 ) -> StreamingQuery:
-    """Entity state without a state store: each batch writes its own mergeable aggregates."""
+    """Entity state without a state store: each batch writes its own mergeable aggregates.
+
+    After every `compact_every` batches (0: never) those before are merged, see `compaction`.
+    """
 
     def write(rows: DataFrame, batch: int) -> None:
-        _write_batch(partial_state(_known(rows, bad_time), *_KEYS), folder, batch)
+        _write_state(partial_state(_known(rows, bad_time), *_KEYS), folder, batch, compact_every)
 
     return (
         log.writeStream.foreachBatch(write)
@@ -80,8 +101,8 @@ def stream_partials(
 
 
 def read_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Current rows per (type, key) of a `stream_state` or `stream_partials` folder."""
-    batches = spark.read.parquet(folder).drop("batch")
+    """Current rows per (type, key) of a `stream_state` or `stream_partials` folder, compacted or not."""
+    batches = spark.read.parquet(*live_folders(spark, folder))
     return resolve(merge_partials(batches, *_KEYS), *_KEYS)
 
 
