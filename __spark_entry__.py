@@ -28,6 +28,7 @@ from perennia.plans.ltv import customer_metrics, ltv, ltv_timeframe, result_colu
 from perennia.plans.ltv_sql import ltv_sql
 from perennia.plans.ltv_touch import touch_ltv, touch_profiles
 from perennia.plans.store import store_entities, store_rejects, upsert
+from perennia.plans.value_store import refresh_value, stored_top, stored_values
 from perennia.schema import ALL_TYPES, CUSTOMER, FACT_FIELDS, LTV_FIELDS, ORDER, SITE_VISIT
 from perennia.session import configure, work_folder
 from perennia.sinks import result_document
@@ -356,6 +357,25 @@ def upserted_rejects(spark, sf_dir):
     return store_rejects(spark, _upserted(spark, sf_dir)).select("reason", "type", "key", "seq")
 
 
+def _valued(spark, sf_dir, week_policy="sunday_u"):
+    """Values of a store that takes the log in two parts, neither of them earlier, and is valued after each."""
+    folder = work_folder(spark, "values")
+    for part in (1, 0):
+        upsert(_log(spark, sf_dir).where(f"seq % 2 = {part}"), f"{folder}/events", buckets=8)
+        refresh_value(spark, f"{folder}/events", f"{folder}/values", week_policy, buckets=4)
+    return f"{folder}/values"
+
+
+def value_store_ltv(spark, sf_dir):
+    return result_columns(stored_values(spark, _valued(spark, sf_dir)))
+
+
+def value_store_calendar_ltv(spark, sf_dir):
+    """Calendar weeks, counted from stored sums."""
+    values = stored_values(spark, _valued(spark, sf_dir, "sunday_calendar"))
+    return values.select("customer_id", "visits", "weeks", "visits_per_week", "ltv")
+
+
 def ingested_customers_only(spark, sf_dir):
     """A store that has no facts."""
     folder = work_folder(spark, "ingest")
@@ -508,6 +528,26 @@ def stream_ltv_top10(spark, sf_dir):
     return jobs.read_top(spark, out)
 
 
+def _streamed_store(spark, sf_dir):
+    """The log as two batches to a store and its values."""
+    base = work_folder(spark, "stored")
+    events = _table(spark, sf_dir, "events")
+    events.repartition(2, "event_id").write.parquet(f"{base}/in")
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    log = event_log_from_tables(files)
+    jobs.stream_store(log, f"{base}/out", f"{base}/checkpoint", buckets=4).awaitTermination()
+    return f"{base}/out"
+
+
+def stream_store_top10(spark, sf_dir):
+    return result_columns(stored_top(spark, f"{_streamed_store(spark, sf_dir)}/values", 10))
+
+
+def stream_store_rejects(spark, sf_dir):
+    rows = store_rejects(spark, f"{_streamed_store(spark, sf_dir)}/events")
+    return rows.select("reason", "type", "key", "seq")
+
+
 def stream_weekly_visits(spark, sf_dir):
     out = _run_stream(spark, sf_dir, "weekly", jobs.stream_weekly_visits)
     return jobs.read_weekly_visits(spark, out)
@@ -585,6 +625,8 @@ _QUERIES: dict[str, Query] = {
     "ingested_customers_only": ingested_customers_only,
     "upserted_ltv": upserted_ltv,
     "upserted_rejects": upserted_rejects,
+    "value_store_ltv": value_store_ltv,
+    "value_store_calendar_ltv": value_store_calendar_ltv,
     "json_array_ltv": json_array_ltv,
     "json_array_lines_ltv": json_array_lines_ltv,
     "json_lines_ltv": json_lines_ltv,
@@ -600,6 +642,8 @@ _QUERIES: dict[str, Query] = {
     "stream_partials_ltv": stream_partials_ltv,
     "stream_compacted_ltv": stream_compacted_ltv,
     "stream_ltv_top10": stream_ltv_top10,
+    "stream_store_top10": stream_store_top10,
+    "stream_store_rejects": stream_store_rejects,
     "stream_weekly_visits": stream_weekly_visits,
     "stream_late_visits": stream_late_visits,
     "stream_first_seen": stream_first_seen,

@@ -328,6 +328,9 @@ ORACLES: dict[str, str] = {
     "upserted_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
     "upserted_rejects": f"""WITH {_dispositions()}
         SELECT disposition AS reason, type, key, seq FROM judged WHERE disposition <> 'APPLIED'""",
+    "value_store_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
+    "value_store_calendar_ltv": f"""WITH {_fold()}, {_metrics('state', f'({_WEEK_START})', "DATE '0001-01-01'")}, {_PEOPLE}, {_scores('joined')}
+        SELECT customer_id, visits, weeks, visits_per_week, ltv FROM scored""",
     "ingested_customers_only": f"""WITH {_fold()}
         SELECT key AS customer_id, last_name, adr_city, adr_state,
                0.0 AS revenue_per_visit, 0.0 AS visits_per_week, 0.0 AS ltv
@@ -362,6 +365,9 @@ ORACLES: dict[str, str] = {
     "stream_partials_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
     "stream_compacted_ltv": f"{_FOLDED} SELECT {_RESULT} FROM scored",
     "stream_ltv_top10": _TOP10,
+    "stream_store_top10": _TOP10,
+    "stream_store_rejects": f"""WITH {_dispositions()}
+        SELECT disposition AS reason, type, key, seq FROM judged WHERE disposition <> 'APPLIED'""",
     "stream_weekly_visits": f"""WITH {_fold()}
         SELECT strftime({_WEEK_START}, '%Y-%m-%d') AS week_start, count(*) AS visits
         FROM state WHERE type = 'SITE_VISIT' GROUP BY ALL""",

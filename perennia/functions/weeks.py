@@ -16,6 +16,8 @@ POLICIES = ("sunday_u", "iso", "sunday_calendar")
 
 # Bit (and printed week) of a date that could not be read; real weeks are 0 to 53.
 UNKNOWN_WEEK_BIT = 54
+# Its code where weeks are numbers; before any date.
+UNKNOWN_WEEK_CODE = -(1 << 31)
 
 
 def week_start(date: Column) -> Column:
@@ -42,6 +44,14 @@ def week_bits(date: Column, policy: str = "sunday_u", null_is_week: bool = True)
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), week)
 
 
+def distinct_week_code(date: Column, policy: str = "sunday_u") -> Column:
+    """An INT per week under any policy, for counting by groups; an unreadable date (NULL) is a week of its own."""
+    week = week_of(date, policy)
+    if policy == "sunday_calendar":
+        week = F.unix_date(week)
+    return F.coalesce(week, F.lit(UNKNOWN_WEEK_CODE))
+
+
 def distinct_weeks(date: Column, counted: Column, policy: str = "sunday_u", null_is_week: bool = True) -> Column:
     """Aggregate: number of distinct weeks over the rows where `counted` holds.
 

@@ -38,7 +38,12 @@ def customer_metrics(facts: DataFrame, week_policy: str = "sunday_u") -> DataFra
 
 def with_metrics(entities: Entities, week_policy: str = "sunday_u") -> DataFrame:
     """Every customer with visits, weeks and revenue; 0 where there are none."""
-    joined = entities.customer.join(customer_metrics(entities.facts, week_policy), "customer_id", "left")
+    return attach_metrics(entities.customer, customer_metrics(entities.facts, week_policy))
+
+
+def attach_metrics(customer: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Customers with their row of metrics, 0 for those without one."""
+    joined = customer.join(metrics, "customer_id", "left")
     return joined.withColumns(
         {
             "visits": F.coalesce("visits", F.lit(0).cast("bigint")),

@@ -46,6 +46,8 @@ class Manifest(NamedTuple):
     state: dict[int, str] = {}
     rejects: dict[int, str] = {}
     customers: dict[int, int] = {}
+    # The last batch of a stream that is in it.
+    batch: int = -1
 
 
 def _files(spark: SparkSession, folder: str):
@@ -144,11 +146,14 @@ def _displaced(old_log: DataFrame, old: DataFrame, fresh: DataFrame) -> DataFram
     return dated.unionByName(undated)
 
 
-def upsert(events: DataFrame, folder: str, bad_time: str = "null_week", buckets: int = BUCKETS) -> Summary:
+def upsert(
+    events: DataFrame, folder: str, bad_time: str = "null_week", buckets: int = BUCKETS, batch_id: int | None = None
+) -> Summary:
     """Add events to the store in `folder`, which begins with its first; returns the counts of the whole store.
 
     The result is that of one ingest of all events, whatever order they come in. Positions (`seq`) must not repeat
-    from call to call, as those of files do not. `bad_time` and `buckets` are fixed by the first call.
+    from call to call, as those of files do not. `bad_time` and `buckets` are fixed by the first call. A stream numbers its
+    batches by `batch_id`: one that is already in the store is not added again.
     """
     spark = events.sparkSession
     before = read_manifest(spark, folder)
@@ -156,6 +161,8 @@ def upsert(events: DataFrame, folder: str, bad_time: str = "null_week", buckets:
         before = Manifest(buckets=buckets, bad_time=bad_time)
     elif before.bad_time != bad_time:
         raise ValueError(f"the store was made with bad_time {before.bad_time!r}")
+    if batch_id is not None and batch_id <= before.batch:
+        return Summary(before.events, sum(before.customers.values()))
     version = max([before.version, *_versions(spark, folder)]) + 1
     run, count = f"{version:08d}-{uuid.uuid4().hex}", before.buckets
 
@@ -199,6 +206,7 @@ def upsert(events: DataFrame, folder: str, bad_time: str = "null_week", buckets:
         now(before.state, customers),
         now(before.rejects, with_rejects),
         {b: n for b, n in before.customers.items() if b not in touched} | customers,
+        before.batch if batch_id is None else batch_id,
     )
     _commit(spark, folder, after)
     return Summary(after.events, sum(after.customers.values()))

@@ -15,6 +15,8 @@ from perennia.operators.fold import entities_of_state, merge_partials, partial_s
 from perennia.operators.rank import top_x
 from perennia.operators.validate import valid_events
 from perennia.plans.ltv import ltv, result_columns
+from perennia.plans.store import BUCKETS, upsert
+from perennia.plans.value_store import KEEP, refresh_value
 from perennia.schema import ALL_TYPES, FIRST_WINS, SITE_VISIT
 from perennia.sources.event_log import PARTITIONING, log_rows
 from perennia.streaming.compaction import compact, live_folders
@@ -147,6 +149,36 @@ def read_top(spark: SparkSession, folder: str) -> DataFrame:
     return lists.where(F.col("batch") == lists.agg(F.max("batch")).scalar()).drop("batch")
 
 
+def stream_store(
+    log: DataFrame,
+    folder: str,
+    checkpoint: str,
+    bad_time: str = "null_week",
+    week_policy: str = "sunday_u",
+    buckets: int = BUCKETS,
+    keep: int = KEEP,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Entities, rejects and values after every batch, each brought up to date by what the batch changed.
+
+    `folder`/events is a store for the readers of `plans.store`, `folder`/values one for those of `plans.value_store`. A
+    late NEW takes its updates out of the rejects; an order that moves is taken from one customer and given to the other.
+    Unlike `stream_top` a batch reads and writes the buckets it touches, not the whole state. A batch that is tried again
+    finds its number in the store and is not added twice; so a folder belongs to one checkpoint.
+    """
+
+    def refresh(rows: DataFrame, batch: int) -> None:
+        upsert(rows, f"{folder}/events", bad_time, buckets, batch_id=batch)
+        refresh_value(rows.sparkSession, f"{folder}/events", f"{folder}/values", week_policy, buckets=buckets, keep=keep)
+
+    return (
+        log.writeStream.foreachBatch(refresh)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
 def stream_weekly_visits(
     log: DataFrame, folder: str, checkpoint: str, bad_time: str = "null_week", trigger: dict | None = None
 ) -> StreamingQuery:
