@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perennia.llm.common import cut, filled
-from perennia.llm.tokens import PATTERN, WordEncoder, byte_letters, kept, merges_in_order, slices
+from perennia.llm.tokens import Tokens, WordEncoder, WordIds, byte_letters, kept, merges_in_order, slices
 from perennia.session import work_folder
 
 #: Words longer than this are never put into the lexicon.
@@ -58,14 +58,28 @@ class Vocabulary:
         self.quick = None
         if merges_in_order(parsed["model"]):
             ranks = {data: i for i, data in self.bytes_of.items() if i not in self.special.values()}
-            # The whole of what it is given is one word.
-            self.quick = tiktoken.Encoding("word", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
-
-    def merge_all(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each of these pre-tokenized words."""
-        if self.quick is None:
-            return list(map(self.merge, words))
-        return [self.quick.encode_ordinary(word.decode()) for word in words]
+            # The byte 0 parts words.
+            self.quick = tiktoken.Encoding("words", pat_str=r"[^\x00]+", mergeable_ranks=ranks, special_tokens={})
+        self.lengths = np.zeros(max(self.bytes_of) + 1, np.int64)
+        self.lengths[list(self.bytes_of)] = list(map(len, self.bytes_of.values()))
+
+    def merge_all(self, words: list[bytes]) -> WordIds:
+        """The ids of these pre-tokenized words."""
+        sizes = np.zeros(len(words), np.int64)
+        single = [i for i, word in enumerate(words) if self.quick is None or 0 in word]
+        merged = [self.merge(words[i]) for i in single]
+        together = np.setdiff1d(np.arange(len(words)), single)
+        ids = np.zeros(0, np.uint32)
+        if len(together):
+            ids = self.quick.encode_to_numpy(b"\0".join([words[i] for i in together]).decode(), disallowed_special=())
+            # No token reaches over the end of a word, so lengths in bytes tell whose an id is.
+            ends = np.cumsum([len(words[i]) for i in together])
+            sizes[together] = np.diff(np.searchsorted(np.cumsum(self.lengths[ids]), ends, side="right"), prepend=0)
+        sizes[single] = list(map(len, merged))
+        order = np.concatenate([together, single]).astype(np.int64)
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return WordIds(np.concatenate([ids, np.array([i for part in merged for i in part], np.uint32)]), starts, sizes)
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-tokenized word: the pair of lowest rank is merged first, from the left."""
@@ -236,7 +250,9 @@ def build_lexicon(docs: DataFrame, vocabulary: str, size: int = 200_000, text_co
         least = row["level"]
     frequent = counted.where(level >= least).select("word").collect() if least is not None else []
     words = sorted(bytes(r["word"]) for r in frequent)
-    return share(docs.sparkSession, packed(compile_words(list(zip(words, Vocabulary(vocabulary).merge_all(words))))))
+    ids, starts, sizes = Vocabulary(vocabulary).merge_all(words)
+    entries = [(word, ids[at : at + n].tolist()) for word, at, n in zip(words, starts, sizes)]
+    return share(docs.sparkSession, packed(compile_words(entries)))
 
 
 def share(spark: SparkSession, content: bytes) -> str:
@@ -251,51 +267,66 @@ def share(spark: SparkSession, content: bytes) -> str:
     return name
 
 
-class Word(NamedTuple):
-    """What is remembered of one word: its ids in print, which takes less room, and the bytes they stand for."""
-
-    printed: str
-    decoded: bytes
-
-
 class BpeEncoder:
     """Encodes and decodes texts in one task, with the mapped lexicon."""
 
     def __init__(self, vocabulary: str, lexicon: Transducer):
         self.vocabulary, self.lexicon = Vocabulary(vocabulary), lexicon
-        self.names = {i: str(i) for i in self.vocabulary.bytes_of}
-        special = {t: self._word([i]) for t, i in self.vocabulary.special.items()}
-        self.encoder = WordEncoder(self._encode_strings, special)
-
-    def _word(self, ids: list[int]) -> Word:
-        return Word(",".join(map(self.names.__getitem__, ids)), b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)))
-
-    def _encode_strings(self, strings: list[str]) -> list[Word]:
-        pieces = [[p.encode() for p in PATTERN.findall(s)] for s in strings]
-        distinct = list({p for ps in pieces for p in ps})
+        self.special = {token.encode(): i for token, i in self.vocabulary.special.items()}
+        self.encoder = WordEncoder(self._encode_words, self.vocabulary.special)
+        bytes_of = self.vocabulary.bytes_of
+        # By id: the id in print, and the bytes it stands for.
+        self.names = pa.array([b"%d," % i for i in range(max(bytes_of) + 1)], pa.large_binary())
+        self.spellings = pa.array([bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)], pa.large_binary())
+
+    def _encode_words(self, words: list[bytes]) -> WordIds:
         offsets, table = self.lexicon.offsets, self.lexicon.ids
-        ids, unseen = {}, []
-        for piece, place in zip(distinct, self.lexicon.places(distinct).tolist()):
-            if place >= 0:
-                ids[piece] = table[offsets[place] : offsets[place + 1]].tolist()
-            else:
-                unseen.append(piece)
-        ids.update(zip(unseen, self.vocabulary.merge_all(unseen)))
-        return [self._word(ids[ps[0]] if len(ps) == 1 else [i for p in ps for i in ids[p]]) for ps in pieces]
-
-    def words(self, texts: list[str]) -> list[list[Word]]:
-        """The words of each text. Special tokens written out in a text are those tokens."""
+        place = self.lexicon.places(words)
+        # Special tokens go by their own ids, even if the lexicon has a word of those letters.
+        special = [i for i, word in enumerate(words) if word in self.special]
+        place[special] = -1
+        known = place >= 0
+        starts, sizes = np.zeros(len(words), np.int64), np.ones(len(words), np.int64)
+        starts[known] = offsets[place[known]]
+        sizes[known] = offsets[place[known] + 1] - starts[known]
+        known[special] = True
+        rest = np.flatnonzero(~known)
+        merged, after, sizes[rest] = self.vocabulary.merge_all([words[i] for i in rest])
+        starts[rest] = len(table) + after
+        starts[special] = len(table) + len(merged) + np.arange(len(special))
+        named = np.array([self.special[words[i]] for i in special], np.uint32)
+        return WordIds(np.concatenate([table, merged, named]), starts, sizes)
+
+    def tokens(self, texts: list[str]) -> Tokens:
+        """The ids of the texts. Special tokens written out in a text are those tokens."""
         return self.encoder.encode(texts)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
-        printed = (",".join([word.printed for word in words]) for words in self.words(texts))
-        return [list(map(int, ids.split(","))) if ids else [] for ids in printed]
+        ids, starts = self.tokens(texts)
+        return [part.tolist() for part in np.split(ids, starts[1:-1])] if texts else []
+
+    def printed(self, tokens: Tokens) -> list[memoryview]:
+        """The ids of each text in print, joined by commas."""
+        return [text[:-1] for text in _joined(self.names, tokens)]
+
+    def decoded(self, tokens: Tokens) -> list[str]:
+        """What the ids of each text stand for. Bytes are decoded together: a character may be spread over tokens."""
+        return [str(text, "utf-8", "replace") for text in _joined(self.spellings, tokens)]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _joined(values: pa.Array, tokens: Tokens) -> list[memoryview]:
+    """For each text the values of its ids, one after the other."""
+    _, offsets, data = values.take(pa.array(tokens.ids)).buffers()
+    if not len(tokens.ids):
+        return [memoryview(b"")] * (len(tokens.starts) - 1)
+    places, whole = np.frombuffer(offsets, np.int64)[tokens.starts].tolist(), memoryview(data)
+    return [whole[a:b] for a, b in zip(places, places[1:])]
+
+
 def _task_encoder(vocabulary: str, lexicon: str) -> BpeEncoder:
     """Lexicons have names of their own."""
     return kept(("bpe", lexicon, zlib.crc32(vocabulary.encode())), lambda: BpeEncoder(vocabulary, mapped(SparkFiles.get(lexicon))))
@@ -317,10 +348,10 @@ def encode_documents(
         encoder = _task_encoder(vocabulary.value, lexicon)
         for batch in batches:
             for part in slices(batch):
-                ids = encoder.encode(part.column(1).to_pylist())
+                tokens = encoder.tokens(part.column(1).to_pylist())
+                ids = pa.ListArray.from_arrays(pa.array(tokens.starts, pa.int32()), pa.array(tokens.ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(map(encoder.decode, ids), pa.string())],
-                    ["id", "ids", "decoded"],
+                    [part.column(0), ids, pa.array(encoder.decoded(tokens), pa.string())], ["id", "ids", "decoded"]
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
@@ -336,14 +367,10 @@ def digest_documents(docs: DataFrame, vocabulary_path: str, lexicon: str) -> Dat
         encoder = _task_encoder(vocabulary.value, lexicon)
         for batch in batches:
             for part in slices(batch):
-                counts, shas, decoded = [], [], []
-                for words in encoder.words(part.column(1).to_pylist()):
-                    # Bytes are decoded together: a character may be spread over words.
-                    printed = ",".join([w[0] for w in words])
-                    text = b"".join([w[1] for w in words]).decode("utf-8", "replace")
-                    counts.append(printed.count(",") + 1 if words else 0)
-                    shas.append(hashlib.sha256(printed.encode()).hexdigest())
-                    decoded.append(hashlib.sha256(text.encode()).hexdigest())
+                tokens = encoder.tokens(part.column(1).to_pylist())
+                counts = np.diff(tokens.starts)
+                shas = [hashlib.sha256(ids).hexdigest() for ids in encoder.printed(tokens)]
+                decoded = [hashlib.sha256(text.encode()).hexdigest() for text in encoder.decoded(tokens)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(decoded, pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -4,10 +4,8 @@
 order of its merges, ranks and merges say the same and the quicker `tiktoken` merges; what it could
 cut or spell otherwise is left to the library itself.
 
-`WordEncoder` encodes each distinct word of a slice once. The byte-level pre-tokenizer never joins a
-character to what stands before it, but for one space.
-So a text whose words are parted by single spaces or line feeds is the sum of its words; any other
-text is cut by the pre-tokenizer's whole pattern.
+`WordEncoder` cuts texts by the pre-tokenizer's pattern and encodes each distinct word of a slice once. Words and
+ids of a slice are arrays throughout: nothing but the cutting is done word by word in Python.
 """
 
 from __future__ import annotations
@@ -18,6 +16,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,22 +41,6 @@ def kept(key: tuple, make: Callable[[], object]) -> object:
     return _kept[key]
 
 
-def words_of(text: str) -> list[str]:
-    """The words of a text: all but the first follow a space, those that begin with a line feed follow nothing."""
-    return text.replace("\n", " \n").split(" ")
-
-
-def apart(word: str) -> bool:
-    """Whether a word's pieces are the same wherever it stands."""
-    inner = word[1:] if word[:1] == "\n" else word
-    return bool(inner) and not inner[0].isspace() and not inner[-1].isspace()
-
-
-def spelt(word: str) -> str:
-    """The characters of a word that is not the first."""
-    return word if word[0] == "\n" else " " + word
-
-
 # How the two kinds of files cut a text into the words that are merged one by one.
 PLAIN = {"type": "ByteLevel", "use_regex": True, "add_prefix_space": False}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -174,47 +157,64 @@ class TextIds:
             return self._by_library(text)
 
 
+class Tokens(NamedTuple):
+    """The ids of several texts one after the other, and where those of each text begin; the last place is the end."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+
+
+class WordIds(NamedTuple):
+    """Ids, where in them those of each word begin, and how many they are."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+
+
 class WordEncoder:
-    """Encodes texts; `encode_strings` gives the value of each string, a text is the list of its parts' values.
+    """Encodes texts; `encode_words` gives the ids of distinct words, as UTF-8.
 
-    `special` has the values of tokens that stand for themselves wherever they are written out. About
-    `limit` words are remembered: when there are more, those that the last texts did not use are forgotten.
+    `special` are tokens that stand for themselves wherever they are written out; they are given to `encode_words`
+    too, which no other word can be taken for. About `limit` words (or those of one text) are held at once.
     """
 
-    def __init__(self, encode_strings: Callable[[list[str]], list], special: dict[str, object], limit: int = 300_000):
-        self.encode_strings, self.limit = encode_strings, limit
-        self.special = dict(sorted(special.items(), key=lambda x: -len(x[0])))
-        self.words: dict[str, object] = {}
-        self.pieces: dict[str, object] = {}
-
-    def _values(self, known: dict[str, object], wanted: Iterable[str]) -> dict[str, object]:
-        """The value of each string wanted; None for words that do not stand apart."""
-        distinct = set(wanted)
-        new = [s for s in distinct if s not in known]
-        good = new if known is self.pieces else [s for s in new if apart(s)]
-        values = dict.fromkeys(new)
-        values.update(zip(good, self.encode_strings(good if known is self.pieces else [spelt(s) for s in good])))
-        if len(known) + len(new) > self.limit:
-            values.update((s, known[s]) for s in distinct if s in known)
-            known.clear()
-        known.update(values)
-        return known
-
-    def encode(self, texts: list[str]) -> list[list]:
-        """For each text the values of its parts, in order."""
-        special = {i: parts for i, t in enumerate(texts) if len(parts := self._parted(t)) > 1}
-        if not special:
-            return self._encode_plain(texts)
-        flat = [t for i, text in enumerate(texts) for t in special.get(i, [text])[::2]]
-        values = iter(self._encode_plain(flat))
-        out = []
-        for i in range(len(texts)):
-            out.append(list(next(values)))
-            parts = special.get(i, ())
-            for token in parts[1::2]:
-                out[-1].append(self.special[token])
-                out[-1].extend(next(values))
-        return out
+    def __init__(self, encode_words: Callable[[list[bytes]], WordIds], special: Iterable[str], limit: int = 1_000_000):
+        self.encode_words, self.limit = encode_words, limit
+        self.special = sorted(special, key=lambda x: -len(x))
+
+    def encode(self, texts: Iterable[str]) -> Tokens:
+        """The ids of the texts."""
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for words, ends in self._blocks(texts):
+            found, before = self._encode_block(words)
+            ids.append(found)
+            sizes.append(np.diff(before[ends], prepend=0))
+        return Tokens(np.concatenate(ids), np.cumsum(np.concatenate(sizes)))
+
+    def _blocks(self, texts: Iterable[str]) -> Iterator[tuple[list[str], list[int]]]:
+        """The words of some texts, and where those of each text end."""
+        words: list[str] = []
+        ends: list[int] = []
+        for text in texts:
+            for i, part in enumerate(self._parted(text)):
+                words.extend([part] if i % 2 else PATTERN.findall(part))
+            ends.append(len(words))
+            if len(words) >= self.limit:
+                yield words, ends
+                words, ends = [], []
+        if ends:
+            yield words, ends
+
+    def _encode_block(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these words, and how many stand before each word and after the last."""
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        table, starts, sizes = self.encode_words(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        place = coded.indices.to_numpy()
+        before = np.concatenate([[0], np.cumsum(sizes[place])])
+        # What is to be added to an id's place here to have its place in the table.
+        shift = np.repeat(starts[place] - before[:-1], sizes[place])
+        return table[np.arange(before[-1]) + shift].astype(np.int32), before
 
     def _parted(self, text: str) -> list[str]:
         """Plain text and special tokens in turn."""
@@ -228,24 +228,6 @@ class WordEncoder:
                 ]
         return parts
 
-    def _encode_plain(self, texts: list[str]) -> list[list]:
-        split = [words_of(t) for t in texts]
-        memory = self._values(self.words, (w for words in split for w in words[1:]))
-        rest, out = [], []
-        for text, words in zip(texts, split):
-            first = words[0]
-            values = list(map(memory.__getitem__, words[1:]))
-            if None in values or (first and (first[0].isspace() or first[-1].isspace())) or (not first and values):
-                rest.append((len(out), PATTERN.findall(text)))
-                out.append([])
-            else:
-                rest.append((len(out), PATTERN.findall(first)))
-                out.append(values)
-        memory = self._values(self.pieces, (p for _, pieces in rest for p in pieces))
-        for i, pieces in rest:
-            out[i][:0] = map(memory.__getitem__, pieces)
-        return out
-
 
 def slices(batch: pa.RecordBatch, column: int = 1, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in parts of at most `most` bytes of text (or one row), so that a task's memory stays bounded."""

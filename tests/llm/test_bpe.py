@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -68,6 +69,50 @@ def test_memory_that_starts_anew(library, vocabulary):
         assert encoder.encode(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("quick", [True, False])
+def test_many_words_are_merged_at_once(vocabulary, quick):
+    words = [b" the", b"\0", b"!\0!", b"", b" unseenword", b"\xc3\xa9" * 70, b"\n\n", b"'s", b"\0" * 150, b" the", b"x"]
+    known = bpe.Vocabulary(vocabulary)
+    if not quick:
+        known.quick = None
+    for some in (words, words[:1], words[1:2], []):
+        ids, starts, sizes = known.merge_all(some)
+        got = [ids[at : at + n].tolist() for at, n in zip(starts, sizes)]
+        assert got == [known.merge(w) for w in some]
+        assert sizes.sum() == len(ids)
+
+
+def test_special_tokens_stand_for_themselves(vocabulary):
+    encoder = bpe.BpeEncoder(vocabulary, bpe.compile_words([(b"<|endoftext|>", [1, 2]), (b"a", [64])]))
+    end = encoder.vocabulary.special["<|endoftext|>"]
+    assert encoder.encode(["a<|endoftext|>a", "", "<|endoftext|>"]) == [[64, end, 64], [], [end]]
+    assert encoder.encode([]) == []
+
+
+def seconds(work):
+    begun = time.process_time()
+    work()
+    return time.process_time() - begun
+
+
+def test_encoding_takes_few_times_what_cutting_takes(vocabulary):
+    """Not much more is done for a word than to cut it out, even where many words are new."""
+    rng = random.Random(7)
+    parts = ["the", "of", "in", "er", "an", "tion", "sh", "ble", "ou", "ing", "nt", "at", "re", "ha", "st", "ed"]
+    frequent = ["".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(400)]
+
+    def word():
+        return rng.choice(frequent) if rng.random() < 0.5 else "".join(rng.choices(parts, k=5))
+
+    texts = [" ".join(word() for _ in range(500)) + "." for _ in range(1000)]
+    merge = bpe.Vocabulary(vocabulary).merge
+    lexicon = bpe.compile_words([(w, merge(w)) for w in sorted({f" {w}".encode() for w in frequent})])
+    # Each encoder begins with no word remembered.
+    encoders = [bpe.BpeEncoder(vocabulary, lexicon) for _ in range(3)]
+    encoding = min(seconds(lambda e=e: e.encoder.encode(texts)) for e in encoders)
+    assert encoding < 7 * min(seconds(lambda: [PATTERN.findall(t) for t in texts]) for _ in range(3))
+
+
 def test_every_character_is_cut_like_the_library(library, vocabulary):
     encoder = bpe.BpeEncoder(vocabulary, bpe.compile_words([]))
     texts = [f"a{chr(c)}b {chr(c)}\n{chr(c)}{chr(c)}1" for c in [*range(0x3000), *range(0xFE00, 0x10000), *range(0x1F300, 0x1F700)]]
